@@ -1,0 +1 @@
+"""No streaming operators: the work this package covers is batch only."""
