@@ -1,57 +1,98 @@
 """Statistics per group, alone or attached to every row of the group.
 
-All of them are ``groupBy`` aggregates: Spark combines rows before the
-shuffle, so a group of any size reaches its reducer as one row per map task.
-A window over the group would instead gather the whole group in one task.
+All of them are ``groupBy`` aggregates.  A window over the group would gather
+the whole group in one task, however large it is.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierframe.operators.joins import DEFAULT_POLICY, SkewPolicy, lookup_join
+from tierframe.operators.joins import (
+    DEFAULT_POLICY,
+    SkewPolicy,
+    hot_keys,
+    is_small,
+    lookup_join,
+)
 
+# Statistic -> SQL aggregate.
 AGGREGATES = {
-    "count": F.count,
-    "max": F.max,
-    "mean": F.avg,
-    "min": F.min,
-    "std": F.stddev_samp,
-    "sum": F.sum,
+    "count": "count",
+    "max": "max",
+    "mean": "avg",
+    "min": "min",
+    "std": "stddev_samp",
+    "sum": "sum",
 }
 
 
 @dataclass(frozen=True)
 class Stat:
-    """Statistics of one source column, named ``<prefix>_<family>_<stat>``."""
+    """Statistics of one source column, named ``<key>_<family>_<kind>``."""
 
     source: str
     family: str
     kinds: tuple[str, ...]
 
-    def columns(self, prefix: str) -> list[Column]:
+    def columns(self, key: str) -> list[Column]:
         return [
-            AGGREGATES[kind](self.source).alias(f"{prefix}_{self.family}_{kind}")
+            F.expr(f"{AGGREGATES[kind]}({self.source}) AS {key}_{self.family}_{kind}")
             for kind in self.kinds
         ]
 
 
-def stat_columns(prefix: str, stats: list[Stat]) -> list[Column]:
-    return [column for stat in stats for column in stat.columns(prefix)]
+def _unchanged(df: DataFrame) -> DataFrame:
+    return df
 
 
 def group_stats(
-    df: DataFrame, key: str, stats: list[Stat], extra: tuple[Column, ...] = ()
+    rows: DataFrame,
+    key: str,
+    stats: list[Stat],
+    extra: tuple[Column, ...] = (),
+    derive: Callable[[DataFrame], DataFrame] = _unchanged,
 ) -> DataFrame:
-    """One row per key; ``extra`` are further aggregate columns."""
-    return df.groupBy(key).agg(*stat_columns(key, stats), *extra)
+    """One row per key, combined before the shuffle.
+
+    ``derive`` adds the source columns to the rows; ``extra`` are further
+    aggregates.  A group of any size reaches its reducer as one row per map
+    task.  Right where groups are large next to the number of aggregates.
+    """
+    columns = [column for stat in stats for column in stat.columns(key)]
+    return derive(rows.filter(F.col(key).isNotNull())).groupBy(key).agg(*columns, *extra)
+
+
+def wide_group_stats(
+    rows: DataFrame,
+    key: str,
+    stats: list[Stat],
+    extra: tuple[Column, ...] = (),
+    derive: Callable[[DataFrame], DataFrame] = _unchanged,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """The same result for many statistics of small groups.
+
+    Hundreds of aggregates make a partial result far wider than the few rows
+    it stands for.  So the raw rows are shuffled, and ``derive`` runs after
+    that.  Hot keys are the exception: those are combined first.
+    """
+    if is_small(rows, policy.min_bytes):
+        return group_stats(rows.repartition(key), key, stats, extra, derive)
+    hot = F.broadcast(hot_keys(rows, key, policy))
+    usual = rows.join(hot, key, "left_anti").repartition(key)
+    crowded = rows.join(hot, key, "left_semi")
+    return group_stats(usual, key, stats, extra, derive).unionByName(
+        group_stats(crowded, key, stats, extra, derive)
+    )
 
 
 def with_group_stats(
-    df: DataFrame,
+    rows: DataFrame,
     key: str,
     stats: list[Stat],
     extra: tuple[Column, ...] = (),
@@ -60,7 +101,7 @@ def with_group_stats(
 ) -> DataFrame:
     """Every row, with the statistics of its group."""
     return lookup_join(
-        df, group_stats(df, key, stats, extra), key, "left", policy, salt_by
+        rows, group_stats(rows, key, stats, extra), key, "left", policy, salt_by
     )
 
 

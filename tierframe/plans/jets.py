@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tierframe.functions import scalar as S
 from tierframe.operators.joins import DEFAULT_POLICY, SkewPolicy, lookup_join
-from tierframe.operators.stats import Stat, group_stats
+from tierframe.operators.stats import Stat, wide_group_stats
 
 KEY = "event_id"
 COUNT = "number_of_particles_in_this_jet"
@@ -95,13 +95,15 @@ EVENT_FAMILIES = _event_families()
 FOUR = ("max", "mean", "min", "std")
 
 
-def event_stats(featured: DataFrame, kinds: tuple[str, ...] = FOUR) -> DataFrame:
-    """One row per event over all of its jets: count, the families, sums and
-    the speed of the whole event.  ``kinds`` narrows the families."""
+def event_stats(
+    jets: DataFrame, kinds: tuple[str, ...] = FOUR, policy: SkewPolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """One row per event over all of its raw jets: count, the families, sums
+    and the speed of the whole event.  ``kinds`` narrows the families."""
     stats = [Stat(source, family, kinds) for family, source in EVENT_FAMILIES.items()]
     sums = [Stat("jet_energy", "energy", ("sum",)), Stat("jet_mass", "mass", ("sum",))]
     count = F.count("jet_id").alias("event_id_count")
-    grouped = group_stats(featured, KEY, stats + sums, extra=(count,))
+    grouped = wide_group_stats(jets, KEY, stats + sums, (count,), jet_features, policy)
     speed = S.speed(F.col("event_id_energy_sum"), F.col("event_id_mass_sum"))
     names = [c for c in grouped.columns if c not in (KEY, "event_id_count")]
     return grouped.select(KEY, "event_id_count", *names, speed.alias("event_id_speed"))
@@ -111,7 +113,8 @@ def jet_table(
     jets: DataFrame, kinds: tuple[str, ...] = FOUR, policy: SkewPolicy = DEFAULT_POLICY
 ) -> DataFrame:
     """Every jet with its features and the statistics of its event."""
-    featured = jet_features(jets)
-    return lookup_join(
-        featured, event_stats(featured, kinds), KEY, "left", policy, salt_by=["jet_id"]
+    return jet_features(
+        lookup_join(
+            jets, event_stats(jets, kinds, policy), KEY, "left", policy, salt_by=["jet_id"]
+        )
     )
