@@ -7,7 +7,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def names_except(df: DataFrame, excluded: Iterable[str]) -> list[str]:
@@ -50,20 +49,22 @@ def narrow(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Halve the storage: double -> float, integers -> smallint.
 
     An integer outside the smallint range becomes NULL, so name ids and other
-    wide integers in ``keep``.
+    wide integers in ``keep``.  -0.0 is stored as 0.0: the two compare equal,
+    so the least of a group could be either, by order of arrival.
     """
     kept = set(keep)
-
-    def cast(field: T.StructField):
-        column = F.col(field.name)
-        if field.name not in kept:
-            if isinstance(field.dataType, T.DoubleType):
-                column = column.cast("float")
-            elif isinstance(field.dataType, (T.IntegerType, T.LongType)):
-                column = column.try_cast("smallint")
-        return column.alias(field.name)
-
-    return df.select(*[cast(f) for f in df.schema.fields])
+    # by type name; text, because feature tables have hundreds of columns
+    casts = {
+        "double": "CAST(`{0}` AS FLOAT) + 0F AS `{0}`",
+        "int": "try_cast(`{0}` AS SMALLINT) AS `{0}`",
+        "bigint": "try_cast(`{0}` AS SMALLINT) AS `{0}`",
+    }
+    return df.selectExpr(
+        *[
+            f"`{name}`" if name in kept else casts.get(dtype, "`{0}`").format(name)
+            for name, dtype in df.dtypes
+        ]
+    )
 
 
 def cast_columns(df: DataFrame, names: Iterable[str], dtype: str) -> DataFrame:

@@ -1,15 +1,16 @@
 """Statistics per group, alone or attached to every row of the group.
 
-All of them are ``groupBy`` aggregates.  A window over the group would gather
-the whole group in one task, however large it is.
+Where one group may hold a large share of the rows, the rows are combined
+before the shuffle.  Plans that gather a group in one task, such as a window,
+are used for groups only that were found not to be hot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierframe.operators.joins import (
@@ -33,18 +34,32 @@ AGGREGATES = {
 
 @dataclass(frozen=True)
 class Stat:
-    """Statistics of one source column, named ``<key>_<family>_<kind>``."""
+    """Statistics of one source column, named ``<key>_<family>_<kind>``.
+
+    ``digits`` rounds the means: the last bits of a sum of fractions depend on
+    the order in which Spark adds them.
+    """
 
     source: str
     family: str
     kinds: tuple[str, ...]
+    digits: int | None = None
 
-    def columns(self, key: str) -> list[Column]:
+    def texts(self, key: str, frame: str = "") -> list[str]:
+        """SQL text of the statistics, as aggregates or over a window."""
         return [
-            F.expr(f"{AGGREGATES[kind]}({self.source}) AS {key}_{self.family}_{kind}")
+            f"{self._rounded(kind, f'{AGGREGATES[kind]}({self.source}) {frame}')}"
+            f" AS {key}_{self.family}_{kind}"
             for kind in self.kinds
         ]
 
+    def _rounded(self, kind: str, text: str) -> str:
+        return f"round({text}, {self.digits})" if kind == "mean" and self.digits else text
+
+
+def with_digits(stats: list[Stat], digits: int | None) -> list[Stat]:
+    return [replace(stat, digits=digits) for stat in stats]
+
 
 def _unchanged(df: DataFrame) -> DataFrame:
     return df
@@ -54,24 +69,26 @@ def group_stats(
     rows: DataFrame,
     key: str,
     stats: list[Stat],
-    extra: tuple[Column, ...] = (),
+    extra: tuple[str, ...] = (),
     derive: Callable[[DataFrame], DataFrame] = _unchanged,
 ) -> DataFrame:
     """One row per key, combined before the shuffle.
 
-    ``derive`` adds the source columns to the rows; ``extra`` are further
-    aggregates.  A group of any size reaches its reducer as one row per map
-    task.  Right where groups are large next to the number of aggregates.
+    ``derive`` adds the source columns to the rows; ``extra`` is SQL text of
+    further aggregates.  A group of any size reaches its reducer as one row
+    per map task.  Right where groups are large next to the number of
+    aggregates.
     """
-    columns = [column for stat in stats for column in stat.columns(key)]
-    return derive(rows.filter(F.col(key).isNotNull())).groupBy(key).agg(*columns, *extra)
+    texts = [text for stat in stats for text in stat.texts(key)] + list(extra)
+    known = rows.filter(F.col(key).isNotNull())
+    return derive(known).groupBy(key).agg(*[F.expr(text) for text in texts])
 
 
 def wide_group_stats(
     rows: DataFrame,
     key: str,
     stats: list[Stat],
-    extra: tuple[Column, ...] = (),
+    extra: tuple[str, ...] = (),
     derive: Callable[[DataFrame], DataFrame] = _unchanged,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
@@ -83,10 +100,8 @@ def wide_group_stats(
     """
     if is_small(rows, policy.min_bytes):
         return group_stats(rows.repartition(key), key, stats, extra, derive)
-    hot = F.broadcast(hot_keys(rows, key, policy))
-    usual = rows.join(hot, key, "left_anti").repartition(key)
-    crowded = rows.join(hot, key, "left_semi")
-    return group_stats(usual, key, stats, extra, derive).unionByName(
+    usual, crowded = split_hot(rows, key, policy)
+    return group_stats(usual.repartition(key), key, stats, extra, derive).unionByName(
         group_stats(crowded, key, stats, extra, derive)
     )
 
@@ -95,14 +110,49 @@ def with_group_stats(
     rows: DataFrame,
     key: str,
     stats: list[Stat],
-    extra: tuple[Column, ...] = (),
     policy: SkewPolicy = DEFAULT_POLICY,
     salt_by: list[str] | None = None,
 ) -> DataFrame:
     """Every row, with the statistics of its group."""
-    return lookup_join(
-        rows, group_stats(rows, key, stats, extra), key, "left", policy, salt_by
-    )
+    return lookup_join(rows, group_stats(rows, key, stats), key, "left", policy, salt_by)
+
+
+def with_wide_group_stats(
+    rows: DataFrame,
+    key: str,
+    stats: list[Stat],
+    extra: dict[str, str] | None = None,
+    derive: Callable[[DataFrame], DataFrame] = _unchanged,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Every row, derived, with many statistics of its small group.
+
+    One shuffle of the raw rows and one window serve all statistics.  The rows
+    of hot keys do not move: their statistics, one row per hot key, are
+    broadcast to them.  ``extra`` maps further names to aggregates.
+    """
+    extra = extra or {}
+
+    def windowed(part: DataFrame) -> DataFrame:
+        frame = f"OVER (PARTITION BY {key})"
+        texts = [text for stat in stats for text in stat.texts(key, frame)]
+        more = [f"{aggregate} {frame} AS {name}" for name, aggregate in extra.items()]
+        return derive(part).selectExpr("*", *more, *texts)
+
+    if is_small(rows, policy.min_bytes):
+        return windowed(rows)
+    usual, crowded = split_hot(rows, key, policy)
+    aggregates = tuple(f"{aggregate} AS {name}" for name, aggregate in extra.items())
+    few = F.broadcast(group_stats(crowded, key, stats, aggregates, derive))
+    return windowed(usual).unionByName(derive(crowded).join(few, key))
+
+
+def split_hot(
+    rows: DataFrame, key: str, policy: SkewPolicy
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of other keys, rows of hot keys)."""
+    hot = F.broadcast(hot_keys(rows, key, policy))
+    return rows.join(hot, key, "left_anti"), rows.join(hot, key, "left_semi")
 
 
 def distinct_count(df: DataFrame, key: str, column: str, name: str) -> DataFrame:

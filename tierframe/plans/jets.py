@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierframe.functions import scalar as S
-from tierframe.operators.joins import DEFAULT_POLICY, SkewPolicy, lookup_join
-from tierframe.operators.stats import Stat, wide_group_stats
+from tierframe.operators.joins import DEFAULT_POLICY, SkewPolicy
+from tierframe.operators.stats import Stat, wide_group_stats, with_wide_group_stats
 
 KEY = "event_id"
 COUNT = "number_of_particles_in_this_jet"
@@ -95,26 +95,42 @@ EVENT_FAMILIES = _event_families()
 FOUR = ("max", "mean", "min", "std")
 
 
+def _event_stat_list(kinds: tuple[str, ...], digits: int | None) -> list[Stat]:
+    return [Stat(source, family, kinds, digits) for family, source in EVENT_FAMILIES.items()] + [
+        Stat("jet_energy", "energy", ("sum",)),
+        Stat("jet_mass", "mass", ("sum",)),
+    ]
+
+
 def event_stats(
-    jets: DataFrame, kinds: tuple[str, ...] = FOUR, policy: SkewPolicy = DEFAULT_POLICY
+    jets: DataFrame,
+    kinds: tuple[str, ...] = FOUR,
+    digits: int | None = None,
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """One row per event over all of its raw jets: count, the families, sums
-    and the speed of the whole event.  ``kinds`` narrows the families."""
-    stats = [Stat(source, family, kinds) for family, source in EVENT_FAMILIES.items()]
-    sums = [Stat("jet_energy", "energy", ("sum",)), Stat("jet_mass", "mass", ("sum",))]
-    count = F.count("jet_id").alias("event_id_count")
-    grouped = wide_group_stats(jets, KEY, stats + sums, (count,), jet_features, policy)
-    speed = S.speed(F.col("event_id_energy_sum"), F.col("event_id_mass_sum"))
-    names = [c for c in grouped.columns if c not in (KEY, "event_id_count")]
-    return grouped.select(KEY, "event_id_count", *names, speed.alias("event_id_speed"))
+    and the speed of the whole event.  ``kinds`` narrows the families and
+    ``digits`` rounds their means."""
+    count = ("count(jet_id) AS event_id_count",)
+    stats = _event_stat_list(kinds, digits)
+    grouped = wide_group_stats(jets, KEY, stats, count, jet_features, policy)
+    return with_event_speed(grouped)
 
 
 def jet_table(
-    jets: DataFrame, kinds: tuple[str, ...] = FOUR, policy: SkewPolicy = DEFAULT_POLICY
+    jets: DataFrame,
+    kinds: tuple[str, ...] = FOUR,
+    digits: int | None = None,
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Every jet with its features and the statistics of its event."""
-    return jet_features(
-        lookup_join(
-            jets, event_stats(jets, kinds, policy), KEY, "left", policy, salt_by=["jet_id"]
-        )
+    count = {"event_id_count": "count(jet_id)"}
+    stats = _event_stat_list(kinds, digits)
+    return with_event_speed(
+        with_wide_group_stats(jets, KEY, stats, count, jet_features, policy)
     )
+
+
+def with_event_speed(df: DataFrame) -> DataFrame:
+    speed = S.speed(F.col("event_id_energy_sum"), F.col("event_id_mass_sum"))
+    return df.withColumn("event_id_speed", speed)
