@@ -645,7 +645,7 @@ ORACLES = {
             CAST(particle_category AS SMALLINT) AS particle_category,
             {floats(["particle_px", "particle_py", "particle_pz", "particle_energy",
                      "particle_mass"])},
-            TRY_CAST(jet_id * 4 AS SMALLINT) AS too_wide FROM particle""",
+            CAST(TRY_CAST(jet_id * 4 AS SMALLINT) AS DOUBLE) AS too_wide FROM particle""",
     ),
     "cast_slots": sql(
         ["ranked"],

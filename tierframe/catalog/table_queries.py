@@ -155,7 +155,7 @@ def rename_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def narrow_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     particles = V.particles(spark, sf_dir).drop("line_number", "price", "shipped")
     wide = particles.withColumn("too_wide", F.col("jet_id") * 4)
-    return C.narrow(wide, keep=["jet_id", "part_key", "supplier_key"])
+    return labelled(C.narrow(wide, keep=["jet_id", "part_key", "supplier_key"]), "too_wide")
 
 
 def cast_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
