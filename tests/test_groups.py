@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tests.conftest import plan_of, rows_of
 from tierframe.operators import joins as J
 from tierframe.operators import stats as ST
+from tierframe.plans.jets import event_stats, jet_table
+from tierframe.sources import views as V
 
 FIVE = ("count", "max", "mean", "min", "std", "sum")
 
@@ -133,6 +135,7 @@ def test_small_join_is_left_to_spark(spark):
     rows = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
     lookup = spark.range(7).select(F.col("id").alias("k"), F.col("id").alias("v"))
     assert J.is_small(rows, 1 << 20)
+    assert J.source_bytes(rows) == 800
     assert J.SALT not in plan_of(J.lookup_join(rows, lookup, "k"))
 
 
@@ -185,3 +188,23 @@ def test_means_can_be_rounded(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 0.0), ("a", 0.0)], "k string, x double")
     r = ST.group_stats(df, "k", [ST.Stat("x", "x", ("mean", "std"), 3)]).first()
     assert r.k_x_mean == 0.333 and r.k_x_std != round(r.k_x_std, 3)
+
+
+def test_registered_sizes_need_no_split(spark, sf_dir):
+    """The small test tables take the plain way, a low limit the other one."""
+    jets = V.jets(spark, sf_dir)
+    assert J.needs_no_split(jets, J.DEFAULT_POLICY)
+    assert not J.needs_no_split(jets, J.SkewPolicy(min_bytes=1000))
+
+
+@pytest.mark.parametrize("table", [event_stats, jet_table])
+def test_event_statistics_do_not_depend_on_the_way(spark, sf_dir, table):
+    kinds = ("max", "min", "mean")
+    split = J.SkewPolicy(share=0.01, rows_per_part=5, min_bytes=0)
+    columns = ["event_id", "event_id_count", "event_id_mass_sum", "event_id_px_max",
+               "event_id_angle_xy_min", "event_id_speed"]
+    jets = V.jets(spark, sf_dir)
+    assert J.hot_keys(jets, "event_id", split).count() > 3
+    plain = table(jets, kinds, 6).select(*columns)
+    other = table(jets, kinds, 6, split).select(*columns)
+    assert rows_of(plain) == rows_of(other)

@@ -17,8 +17,8 @@ from tierframe.operators.joins import (
     DEFAULT_POLICY,
     SkewPolicy,
     hot_keys,
-    is_small,
     lookup_join,
+    needs_no_split,
 )
 
 # Statistic -> SQL aggregate.
@@ -98,7 +98,7 @@ def wide_group_stats(
     it stands for.  So the raw rows are shuffled, and ``derive`` runs after
     that.  Hot keys are the exception: those are combined first.
     """
-    if is_small(rows, policy.min_bytes):
+    if needs_no_split(rows, policy):
         return group_stats(rows.repartition(key), key, stats, extra, derive)
     usual, crowded = split_hot(rows, key, policy)
     return group_stats(usual.repartition(key), key, stats, extra, derive).unionByName(
@@ -139,7 +139,7 @@ def with_wide_group_stats(
         more = [f"{aggregate} {frame} AS {name}" for name, aggregate in extra.items()]
         return derive(part).selectExpr("*", *more, *texts)
 
-    if is_small(rows, policy.min_bytes):
+    if needs_no_split(rows, policy):
         return windowed(rows)
     usual, crowded = split_hot(rows, key, policy)
     aggregates = tuple(f"{aggregate} AS {name}" for name, aggregate in extra.items())
