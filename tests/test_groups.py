@@ -97,10 +97,14 @@ def test_rows_without_a_key_stay(lopsided, skewed):
         assert all(r.k_x_sum is None for r in rows if r.k is None)
 
 
-def test_wide_stats_keep_rows_without_a_key(lopsided, skewed):
+@pytest.mark.parametrize("limit", [0, 1 << 62])
+def test_wide_stats_keep_rows_without_a_key(lopsided, limit):
+    policy = J.SkewPolicy(share=0.1, rows_per_part=10, min_bytes=limit)
     stats = [ST.Stat("x", "x", ("sum",))]
-    rows = ST.with_wide_group_stats(lopsided, "k", stats, policy=skewed).collect()
-    assert sorted(r.id for r in rows) == list(range(300))
+    known = lopsided.filter("k is not null").count()
+    rows = ST.with_wide_group_stats(lopsided, "k", stats, policy=policy).collect()
+    assert sorted(r.id for r in rows) == list(range(300)) and known < 300
+    assert all(r.k_x_sum is None for r in rows if r.k is None)
 
 
 def test_single_member_has_no_std(spark):
@@ -134,18 +138,10 @@ def test_salted_join_equals_plain_join(spark, lopsided, skewed, how):
 def test_small_join_is_left_to_spark(spark):
     rows = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
     lookup = spark.range(7).select(F.col("id").alias("k"), F.col("id").alias("v"))
-    assert J.is_small(rows, 1 << 20)
     assert J.source_bytes(rows) == 800
     assert J.SALT not in plan_of(J.lookup_join(rows, lookup, "k"))
 
 
-def test_broadcast_needs_a_known_small_size(spark):
-    small = J.broadcast_if_small(spark.range(100))
-    large = J.broadcast_if_small(spark.range(100), limit=10)
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
-
-
 def test_hot_rows_spread_over_parts(spark, lopsided, skewed):
     """No salted key keeps more than a fraction of the hot rows."""
     lookup = spark.createDataFrame([(k, k) for k in range(41)], "k int, v int")

@@ -48,7 +48,7 @@ class Stat:
     def texts(self, key: str, frame: str = "") -> list[str]:
         """SQL text of the statistics, as aggregates or over a window."""
         return [
-            f"{self._rounded(kind, f'{AGGREGATES[kind]}({self.source}) {frame}')}"
+            f"{self._rounded(kind, over(f'{AGGREGATES[kind]}({self.source})', key, frame))}"
             f" AS {key}_{self.family}_{kind}"
             for kind in self.kinds
         ]
@@ -57,6 +57,11 @@ class Stat:
         return f"round({text}, {self.digits})" if kind == "mean" and self.digits else text
 
 
+def over(aggregate: str, key: str, frame: str) -> str:
+    """The aggregate over the frame; NULL for the rows without a key."""
+    return f"if({key} IS NULL, NULL, {aggregate} {frame})" if frame else aggregate
+
+
 def with_digits(stats: list[Stat], digits: int | None) -> list[Stat]:
     return [replace(stat, digits=digits) for stat in stats]
 
@@ -129,14 +134,15 @@ def with_wide_group_stats(
 
     One shuffle of the raw rows and one window serve all statistics.  The rows
     of hot keys do not move: their statistics, one row per hot key, are
-    broadcast to them.  ``extra`` maps further names to aggregates.
+    broadcast to them.  Rows without a key have NULL statistics.  ``extra``
+    maps further names to aggregates.
     """
     extra = extra or {}
 
     def windowed(part: DataFrame) -> DataFrame:
         frame = f"OVER (PARTITION BY {key})"
         texts = [text for stat in stats for text in stat.texts(key, frame)]
-        more = [f"{aggregate} {frame} AS {name}" for name, aggregate in extra.items()]
+        more = [f"{over(sql, key, frame)} AS {name}" for name, sql in extra.items()]
         return derive(part).selectExpr("*", *more, *texts)
 
     if needs_no_split(rows, policy):
@@ -144,7 +150,10 @@ def with_wide_group_stats(
     usual, crowded = split_hot(rows, key, policy)
     aggregates = tuple(f"{aggregate} AS {name}" for name, aggregate in extra.items())
     few = F.broadcast(group_stats(crowded, key, stats, aggregates, derive))
-    return windowed(usual).unionByName(derive(crowded).join(few, key))
+    staying = crowded.unionByName(rows.filter(F.col(key).isNull()))
+    return windowed(usual.filter(F.col(key).isNotNull())).unionByName(
+        derive(staying).join(few, key, "left")
+    )
 
 
 def split_hot(
