@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierframe.llm import mixing
+from tierframe.llm import byte_bpe, mixing, token_count
+
+PIECES = "piece_bpe_32k.model"
+BYTES = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +21,20 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)
+    )
+
+
+def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTES))
+
+
 QUERIES = {
     "op4_source_mix": op4_source_mix,
+    "op9_token_counts": op9_token_counts,
+    "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
 ORACLES = {
