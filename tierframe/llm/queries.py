@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierframe.llm import byte_bpe, mixing, token_count
+from tierframe.llm import byte_bpe, line_chunks, mixing, token_count
 
 PIECES = "piece_bpe_32k.model"
 BYTES = "byte_bpe_50k.json"
@@ -15,6 +16,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.passages(_table(spark, sf_dir, "documents")).select(
+        "doc.doc_id",
+        "n_lines",
+        "removed_lines",
+        F.length("kept").cast("long").alias("kept_chars"),
+        F.md5("kept").alias("kept_md5"),
+    )
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -32,12 +43,49 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
     "op4_source_mix": op4_source_mix,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
 ORACLES = {
+    "op3_line_dedup": """
+WITH l AS (
+    SELECT doc_id, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || text) AS k,
+           unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS n
+    FROM documents WHERE text IS NOT NULL
+), h AS (
+    SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h,
+           count(*) OVER (PARTITION BY k) AS n_lines
+    FROM l
+), e AS (
+    SELECT *, CASE WHEN n = n_lines OR (h + 31 * coalesce(lag(h) OVER w, 0)) % 2 = 0
+                   THEN 1 ELSE 0 END AS is_end
+    FROM h WINDOW w AS (PARTITION BY k ORDER BY n)
+), c AS (
+    SELECT *, coalesce(sum(is_end) OVER (PARTITION BY k ORDER BY n
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+    FROM e
+), chunk AS (
+    SELECT doc_id, k, place, any_value(n_lines) AS n_lines, count(*) AS size,
+           string_agg(line, chr(10) ORDER BY n) AS body
+    FROM c GROUP BY doc_id, k, place
+), judged AS (
+    SELECT *, size >= 2 AND row_number() OVER (
+                  PARTITION BY body, size >= 2 ORDER BY doc_id, k, place) > 1 AS gone
+    FROM chunk
+), kept AS (
+    SELECT doc_id, k, CAST(any_value(n_lines) AS BIGINT) AS n_lines,
+           CAST(coalesce(sum(size) FILTER (gone), 0) AS BIGINT) AS removed_lines,
+           coalesce(string_agg(body, chr(10) ORDER BY place) FILTER (NOT gone), '') AS kept
+    FROM judged GROUP BY doc_id, k
+)
+SELECT doc_id, n_lines, removed_lines, length(kept) AS kept_chars, md5(kept) AS kept_md5 FROM kept
+UNION ALL
+SELECT doc_id, 0, 0, NULL, NULL FROM documents WHERE text IS NULL
+""",
     "op4_source_mix": r"""
 WITH d AS (
     SELECT doc_id, source,

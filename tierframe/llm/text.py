@@ -45,3 +45,12 @@ def ragged(flat: np.ndarray, lengths: np.ndarray, of: pa.DataType) -> pa.Array:
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, of))
+
+
+def row_key(id_col: Column, text: Column) -> Column:
+    """md5 of id and text, hex: names a row; rows alike in both share it."""
+    return F.md5(
+        F.concat(
+            F.coalesce(id_col.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))
+        )
+    )
