@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierframe.llm import byte_bpe, line_chunks, mixing, token_count
+from tierframe.llm import byte_bpe, line_chunks, mixing, simhash, token_count
 
 PIECES = "piece_bpe_32k.model"
 BYTES = "byte_bpe_50k.json"
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edits_and_neighbours(_table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_chunks.passages(_table(spark, sf_dir, "documents")).select(
         "doc.doc_id",
@@ -43,6 +47,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mix": op4_source_mix,
     "op9_token_counts": op9_token_counts,
