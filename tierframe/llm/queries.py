@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierframe.llm import byte_bpe, line_chunks, mixing, simhash, token_count
+from tierframe.llm import byte_bpe, host_reputation, line_chunks, mixing, simhash, token_count
 
 PIECES = "piece_bpe_32k.model"
 BYTES = "byte_bpe_50k.json"
@@ -36,6 +36,16 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    # the first number in a page's path is the document it shows
+    _, path = host_reputation.host_and_path(F.col("url"))
+    number = F.regexp_extract(path, "[0-9]+", 0).try_cast("long")
+    shown = pages.select("url", number.alias("doc_id"))
+    labels = _table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("good"))
+    return host_reputation.judge(pages, shown.join(labels, "doc_id").select("url", "good"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(
         _table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)
@@ -50,6 +60,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mix": op4_source_mix,
+    "op7_url_reputation": op7_url_reputation,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
@@ -90,6 +101,68 @@ WITH l AS (
 SELECT doc_id, n_lines, removed_lines, length(kept) AS kept_chars, md5(kept) AS kept_md5 FROM kept
 UNION ALL
 SELECT doc_id, 0, 0, NULL, NULL FROM documents WHERE text IS NULL
+""",
+    "op7_url_reputation": """
+WITH u AS (
+    SELECT page_id, coalesce(contains(url, '://'), false) AS ok,
+           substr(url, instr(url, '://') + 3) AS rest
+    FROM pages
+), p AS (
+    SELECT page_id,
+           CASE WHEN ok THEN translate(regexp_extract(rest, '^[^/?#]*', 0),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+           CASE WHEN ok THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+    FROM u
+), seen AS (
+    SELECT host, count(*) AS n, sum(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS g
+    FROM p JOIN labels l ON l.doc_id = try_cast(regexp_extract(path, '[0-9]+', 0) AS BIGINT)
+    WHERE quality IS NOT NULL GROUP BY host
+), c AS (
+    SELECT h.host, regexp_extract(h.host, '[^.]*[.]?[^.]*$', 0) AS domain,
+           regexp_extract(h.host, '[^.]*$', 0) AS suffix,
+           coalesce(n, 0)::DOUBLE AS n, coalesce(g, 0)::DOUBLE AS g
+    FROM (SELECT DISTINCT host FROM p) h LEFT JOIN seen USING (host)
+), d AS (SELECT suffix, domain, sum(n) AS n, sum(g) AS g FROM c GROUP BY ALL),
+s AS (SELECT suffix, sum(n) AS n, sum(g) AS g FROM d GROUP BY ALL),
+s1 AS (SELECT *, (SELECT (sum(g) + 1) / (sum(n) + 2) FROM s) AS m FROM s),
+ks AS (
+    SELECT 1 / least(greatest(coalesce((sum(n * (g / n - m) ** 2) - sum(m * (1 - m)))
+               / nullif(sum((n - 1) * m * (1 - m)), 0), 0), 0.001), 0.25) - 1 AS k
+    FROM s1 WHERE n > 0
+), d1 AS (
+    SELECT d.*, (s1.g + k * m) / (s1.n + k) AS m FROM d JOIN s1 USING (suffix), ks
+), kd AS (
+    SELECT 1 / least(greatest(coalesce((sum(n * (g / n - m) ** 2) - sum(m * (1 - m)))
+               / nullif(sum((n - 1) * m * (1 - m)), 0), 0), 0.001), 0.25) - 1 AS k
+    FROM d1 WHERE n > 0
+), c1 AS (
+    SELECT c.*, (d1.g + k * m) / (d1.n + k) AS m FROM c JOIN d1 USING (suffix, domain), kd
+), kc AS (
+    SELECT 1 / least(greatest(coalesce((sum(n * (g / n - m) ** 2) - sum(m * (1 - m)))
+               / nullif(sum((n - 1) * m * (1 - m)), 0), 0), 0.001), 0.25) - 1 AS k
+    FROM c1 WHERE n > 0
+), post AS (
+    SELECT host, n, g + k * m AS a, n - g + k * (1 - m) AS b FROM c1, kc
+), r AS (
+    SELECT host, CAST(n AS BIGINT) AS n_labelled,
+           a / (a + b) + 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS upper_bound
+    FROM post
+), j AS (
+    SELECT p.*, r.n_labelled, r.upper_bound,
+           CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/')
+                    THEN 'example.net/en/'
+                WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/')
+                    THEN 'example.com/de/'
+                WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/'
+           END AS rule
+    FROM p JOIN r USING (host)
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN upper_bound < 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+       n_labelled
+FROM j
 """,
     "op4_source_mix": r"""
 WITH d AS (
