@@ -6,7 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierframe.llm import byte_bpe, host_reputation, line_chunks, mixing, simhash, token_count
+from tierframe.llm import (
+    byte_bpe,
+    host_reputation,
+    line_chunks,
+    mixing,
+    ngram_join,
+    simhash,
+    token_count,
+)
 
 PIECES = "piece_bpe_32k.model"
 BYTES = "byte_bpe_50k.json"
@@ -16,6 +24,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(_table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edits_and_neighbours(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +69,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_simhash": op2_simhash,
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mix": op4_source_mix,
