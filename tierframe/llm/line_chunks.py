@@ -88,7 +88,8 @@ def passages(
         F.col(text_col).alias("_text"),
     )
     cut_up = with_chunks(keyed, "_text", window, cut)
-    exploded = cut_up.select("_key", "_id", F.posexplode("chunks").alias("_at", "_chunk"))
+    # outer: else a filter on the array, written out in full, is put before it
+    exploded = cut_up.select("_key", "_id", F.posexplode_outer("chunks").alias("_at", "_chunk"))
     long_enough = exploded.filter(F.col("_chunk.n_lines") >= LEAST_LINES)
     places = materialize(
         long_enough.select(
