@@ -12,6 +12,7 @@ from tierframe.llm import (
     line_chunks,
     mixing,
     ngram_join,
+    quality,
     simhash,
     token_count,
 )
@@ -48,6 +49,11 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     # the first number in a page's path is the document it shows
@@ -73,6 +79,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mix": op4_source_mix,
+    "op6_quality": op6_quality,
     "op7_url_reputation": op7_url_reputation,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_round_trip": op10_bpe_round_trip,

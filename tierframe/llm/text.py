@@ -54,3 +54,17 @@ def row_key(id_col: Column, text: Column) -> Column:
             F.coalesce(id_col.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))
         )
     )
+
+
+def flat_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts one after another, and the length of each."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    return points, np.fromiter(map(len, texts), np.int64, len(texts))
+
+
+def sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sum of each run of ``lengths`` values."""
+    total = np.zeros(len(values) + 1, np.float64)
+    np.cumsum(values, out=total[1:])
+    ends = np.cumsum(lengths)
+    return total[ends] - total[ends - lengths]
