@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tierframe.llm import (
     byte_bpe,
     host_reputation,
+    language,
     line_chunks,
     mixing,
     ngram_join,
@@ -49,6 +50,14 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    # a null id is never held out
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language.learn(docs.filter(~held))
+    return language.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
@@ -79,6 +88,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_line_dedup": op3_line_dedup,
     "op4_source_mix": op4_source_mix,
+    "op5_language": op5_language,
     "op6_quality": op6_quality,
     "op7_url_reputation": op7_url_reputation,
     "op9_token_counts": op9_token_counts,
