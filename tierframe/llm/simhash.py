@@ -191,9 +191,10 @@ def edits_and_neighbours(
     asked = F.col("doc_id") % 100 == 0
     weighed = joined.select("fp", "copies", "doc_id")
     counts = near_counts(weighed, weighed.filter(asked), radius)
+    # by key: rows that are not asked for have none in common
+    near = joined.filter(asked).select("key", "fp").join(counts, "fp").select("key", "n_near")
     return (
-        joined.withColumn("_asked", F.when(asked, F.col("fp")))
-        .join(counts.withColumnRenamed("fp", "_asked"), "_asked", "left")
+        joined.join(near, "key", "left")
         .select(
             "doc_id",
             "n_chars",
