@@ -13,6 +13,7 @@ from tierframe.llm import (
     line_chunks,
     mixing,
     ngram_join,
+    personal_data,
     quality,
     simhash,
     token_count,
@@ -73,6 +74,11 @@ def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(pages, shown.join(labels, "doc_id").select("url", "good"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return personal_data.detect(docs, personal_data.train(docs))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(
         _table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)
@@ -91,6 +97,7 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_quality": op6_quality,
     "op7_url_reputation": op7_url_reputation,
+    "op8_personal_data": op8_personal_data,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
