@@ -1,14 +1,6 @@
 import pytest
 
 
-@pytest.fixture(autouse=True)
-def shared_folder(spark, tmp_path_factory):
-    """Staged tables go to a folder of the test run."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    yield
-
-
 @pytest.fixture
 def docs_of(spark):
     """Documents from texts; ids count from 0, languages and sources are given or null."""

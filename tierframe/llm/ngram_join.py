@@ -24,11 +24,11 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierframe.llm.components import components
-from tierframe.llm.text import ragged
+from tierframe.llm.text import fresh, ragged, row_key
 from tierframe.sources.staging import materialize
 
 N = 3
@@ -343,3 +343,24 @@ def link_documents(
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("_least", "doc_id")).alias("component_id"),
     )
+
+
+def representatives(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int
+) -> DataFrame:
+    """One document of each component, the one of the smallest id, columns unchanged.
+
+    Documents without n-grams are a component each.  Rows of a null id are not
+    compared and stay.  Of rows alike in id and text one stays; an id given to
+    several texts stays with all of them if it is the smallest for any.
+    """
+    linked = link_documents(docs, id_col, text_col, **options)
+    least = linked.filter("component_id = doc_id").select(F.col("doc_id").alias(id_col)).distinct()
+    # same partitioning as the join
+    alike = Window.partitionBy(id_col, row_key(F.col(id_col), F.col(text_col))).orderBy(F.lit(0))
+    turn = fresh(docs, "turn")
+    kept = (
+        docs.join(least, id_col, "left_semi").withColumn(turn, F.row_number().over(alike))
+        .filter(F.col(turn) == 1)
+    )
+    return kept.select(docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))

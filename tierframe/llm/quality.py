@@ -1,9 +1,9 @@
 """Quality rules: fixed counts of a text, and a classifier on hashed n-grams.
 
 The classifier is a logistic regression on the shares of hashed character
-n-grams and of hashed words.  It is trained on a bounded sample of labelled rows,
-calibrated on a part of them that it has not seen, and scores whole texts in Arrow
-batches: a score is the mean weight of the n-grams of the text.
+n-grams and of hashed words.  It is trained on the halves of a bounded sample of
+labelled rows, each half calibrates what the other one has learnt, and it scores
+whole texts in Arrow batches: a score is the mean weight of a text's n-grams.
 """
 
 from __future__ import annotations
@@ -34,8 +34,6 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 THRESHOLD = 0.2
 # labelled rows that the classifier is fitted on, at most, by hash
 SAMPLE = 12_000
-# of these, one in CALIBRATE sets the probabilities instead of the weights
-CALIBRATE = 5
 GRAM = 3
 BINS = 1 << 16
 # the shares of single n-grams are small numbers
@@ -141,7 +139,8 @@ def train(
 ) -> QualityModel | None:
     """Fit and calibrate on at most ``sample`` labelled rows, those of the smallest hash.
 
-    Null labels and texts are left out.  None if the rows have only one class.
+    Null labels and texts are left out.  None if a half of the rows has only one
+    class, or scores of unseen rows do not rise with their labels.
     The ids of the sample are broadcast, which ``sample`` bounds.
     """
     usable = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
@@ -176,22 +175,24 @@ def train(
         featured, f"doc_id {kind}, label double, at array<int>, value array<double>"
     )
     rows = materialize(rows, "features")
-    held = F.abs(F.xxhash64(F.lit("calibrate"), "doc_id")) % CALIBRATE == 0
-    vectors = rows.select("label", held.alias("held"), _sparse("at", "value").alias("features"))
-    classes = {(r.held, r.label) for r in vectors.select("held", "label").distinct().collect()}
+    half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).alias("half")
+    vectors = rows.select("label", half, _sparse("at", "value").alias("features"))
+    classes = {(r.half, r.label): r["count"] for r in vectors.groupBy("half", "label").count().collect()}
     if len(classes) < 4:
         return None
-    fitted = LogisticRegression(
-        maxIter=40, regParam=0.02, standardization=False, maxBlockSizeInMB=16
-    ).fit(vectors.filter("NOT held").select("label", "features"))
-    weights, intercept = fitted.coefficients.toArray(), float(fitted.intercept)
-    unseen = fitted.transform(vectors.filter("held"))
-    margin = array_to_vector(F.array(vector_to_array("rawPrediction")[1]))
-    margin = unseen.select("label", margin.alias("features"))
-    platt = LogisticRegression(maxIter=50, regParam=1e-4, standardization=True).fit(margin)
-    return QualityModel(
-        weights.astype(np.float32), intercept, float(platt.coefficients[0]), float(platt.intercept)
-    )
+    # each half is scored by the weights of the other one; the mean of both is used
+    logistic = LogisticRegression(maxIter=40, regParam=0.02, standardization=False, maxBlockSizeInMB=16)
+    fitted = [logistic.fit(vectors.filter(f"half = {n}").select("label", "features")) for n in (0, 1)]
+    margin = array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("features")
+    unseen = [f.transform(vectors.filter(f"half != {n}")).select("label", margin) for n, f in enumerate(fitted)]
+    # few rows say little about the slope: it is held back by as much
+    platt = LogisticRegression(maxIter=50, regParam=4 / sum(classes.values())).fit(unseen[0].union(unseen[1]))
+    slope = float(platt.coefficients[0])
+    if slope <= 0:
+        return None
+    weights = (fitted[0].coefficients.toArray() + fitted[1].coefficients.toArray()) / 2
+    intercept = (fitted[0].intercept + fitted[1].intercept) / 2
+    return QualityModel(weights.astype(np.float32), float(intercept), slope, float(platt.intercept))
 
 
 def judge(
