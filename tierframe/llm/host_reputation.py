@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierframe.sources.staging import materialize
+
 # The rules, as (verdict, host + path)
 RULES = (
     ("block", "net/"),
@@ -76,6 +78,7 @@ def reputations(hosts: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFram
     labelled = outcomes.filter("good IS NOT NULL").groupBy("host").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("good").cast("long")).alias("g")
     )
+    # every level is staged: it is read for its own shares and for the next level
     counts = hosts.join(labelled, "host", "left").select(
         "host",
         domain_of(F.col("host")).alias("domain"),
@@ -83,6 +86,7 @@ def reputations(hosts: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFram
         F.coalesce("n", F.lit(0)).alias("n"),
         F.coalesce("g", F.lit(0)).alias("g"),
     )
+    counts = materialize(counts, "hosts")
     domains = counts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("g").alias("g"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("g").alias("g"))
     # rule of succession, so that an unlabelled table gives one half
@@ -103,7 +107,8 @@ def reputations(hosts: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFram
         return joined.select(*kept, (g + k * p).alias("a"), (n - g + k * (1 - p)).alias("b"))
 
     def as_prior(level: DataFrame, *on: str) -> DataFrame:
-        return level.select(*on, (F.col("a") / (F.col("a") + F.col("b"))).alias("parent"))
+        mean = F.col("a") / (F.col("a") + F.col("b"))
+        return materialize(level.select(*on, mean.alias("parent")), "level")
 
     top = as_prior(shrunk(suffixes.withColumn("parent", whole), ["suffix"]), "suffix")
     below_top = domains.join(top, "suffix")
