@@ -85,9 +85,11 @@ def passages(
         F.struct(*docs.columns).alias("doc"),
         F.col(id_col).alias("_id"),
         row_key(F.col(id_col), F.col(text_col)).alias("_key"),
-        F.col(text_col).alias("_text"),
     )
-    cut_up = with_chunks(keyed, "_text", window, cut)
+    # chunks are cut again after each join: the arrays are not what is shuffled
+    whole = F.col("doc").getField(text_col)
+    texts_only = keyed.select("_key", "_id", whole.alias("_text"))
+    cut_up = with_chunks(texts_only, "_text", window, cut)
     # outer: else a filter on the array, written out in full, is put before it
     exploded = cut_up.select("_key", "_id", F.posexplode_outer("chunks").alias("_at", "_chunk"))
     long_enough = exploded.filter(F.col("_chunk.n_lines") >= LEAST_LINES)
@@ -107,11 +109,19 @@ def passages(
         .filter("_first != _last")
         .drop("_last")
     )
-    texts = first.select(*same, F.col("_first._key").alias("_key"), F.col("_first._at").alias("_at"))
+    # one row per document, so that each is cut up once
+    wanted = first.groupBy(F.col("_first._key").alias("_key")).agg(
+        F.collect_set("_first._at").alias("_ats")
+    )
+    holders = with_chunks(texts_only.drop("_id").join(wanted, "_key"), "_text", window, cut)
     texts = (
-        cut_up.select("_key", "chunks")
-        .join(texts, "_key")
-        .select(*same, F.col("chunks")[F.col("_at")]["text"].alias("_text"))
+        holders.select("_ats", F.posexplode_outer("chunks").alias("_at", "_chunk"))
+        .filter(F.array_contains("_ats", F.col("_at")))
+        .select(
+            F.xxhash64("_chunk.text").alias("_hash"),
+            F.octet_length("_chunk.text").alias("_size"),
+            F.col("_chunk.text").alias("_text"),
+        )
         # rows alike give the same text again
         .dropDuplicates(same)
     )
@@ -131,8 +141,9 @@ def passages(
     kept = F.when(F.col("_going").isNull(), F.col("_text")).otherwise(F.array_join(bodies, "\n"))
     n_lines = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines"))
     n_kept = F.when(F.size("_left") > 0, F.size(F.split("kept", "\n", -1))).otherwise(0)
+    joined = keyed.drop("_id").join(going, "_key", "left").withColumn("_text", whole)
     return (
-        cut_up.join(going, "_key", "left")
+        with_chunks(joined, "_text", window, cut)
         .withColumn("_left", left)
         .withColumn("kept", kept)
         .select(
