@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_dirs: dict[str, str] = {}
 
 
@@ -20,7 +22,7 @@ def staging_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_dirs:
@@ -33,7 +35,17 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write once, read many times: cuts the lineage and keeps columnar scans."""
-    path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write once, read many times: cuts the lineage and keeps columnar scans.
+
+    The shuffle files behind the table go when it is written; else those of a
+    job of many steps pile up until the driver happens to collect its garbage.
+    """
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
