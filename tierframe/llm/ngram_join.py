@@ -6,10 +6,10 @@ Documents of equal sets are one unit, units of equal prefix and size one group;
 groups that share a prefix member are paired, the pairs expanded to their units
 and verified on the whole sets.
 
-Only connections are asked for, so not every pair of a crowd is looked at: in a
-few rounds each group is checked against one pivot of the members it shares,
-what is linked becomes one, and prefix members all of whose documents are one
-already are done.  What is left over is joined exactly.  Members that many
+Only connections are asked for, so not every pair of a crowd is looked at: each
+group is first checked against a few pivots of the members it shares, what is
+linked becomes one, and prefix members all of whose documents are one already are
+done.  What is left over is joined exactly.  Members that many
 unconnected documents share, such as those of a common passage, go to the end of
 the order first, which keeps them out of the prefixes of all documents that have
 enough others.
@@ -34,10 +34,12 @@ from tierframe.sources.staging import materialize
 N = 3
 # Jaccard similarity of at least NUM / DEN
 NUM, DEN = 90, 100
-# rounds of pivots before the exact join
-ROUNDS = 3
+# pivots that each group is checked against before the exact join
+PIVOTS = 3
 # a member shared by more unconnected components than this goes to the end
 CROWD = 64
+# lengths of the prefix in which crowds are looked for
+REACH = 4
 # bits of the parity sketch, which bounds the difference of two sets from below
 SKETCH = 512
 LONGS = SKETCH // 64
@@ -208,7 +210,6 @@ class _Join:
         )
 
     def connected(self, active: DataFrame, postings: DataFrame, sets: DataFrame) -> DataFrame:
-        labels = active.select("unit", F.col("unit").alias("comp"))
         facts = active.select("unit", "lead", "first", "n", "sketch")
         inside = (
             _renamed(facts.filter("unit != lead"), "a")
@@ -216,48 +217,39 @@ class _Join:
             .filter(self.may_link("a", "b"))
             .select(F.col("a_unit").alias("a"), F.col("b_unit").alias("b"))
         )
-        for turn in range(ROUNDS):
-            known = materialize(facts.join(labels, "unit"), "facts")
-            open_postings = self.unresolved(postings, known)
-            pairs = self.proposals(open_postings, known, turn)
-            links = materialize(
-                self.linked(pairs if turn else pairs.unionByName(inside), sets), "links"
-            )
-            if links.isEmpty():
-                break
-            labels = self.relabelled(labels, links)
-        known = materialize(active.join(labels, "unit"), "facts")
-        links = materialize(self.linked(self.rest(known, sets), sets), "links")
-        return labels if links.isEmpty() else self.relabelled(labels, links)
-
-    def unresolved(self, postings: DataFrame, known: DataFrame) -> DataFrame:
-        """Postings of members whose documents are not all in one component."""
-        spans = known.groupBy("lead").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        mixed = (
-            postings.join(spans, "lead").groupBy("member")
-            .agg(F.min("low").alias("low"), F.max("high").alias("high"))
-            .filter("low != high").select("member")
-        )
-        return postings.join(mixed, "member")
+        pairs = materialize(inside.unionByName(self.proposals(postings, facts)), "pairs")
+        labels = active.select("unit", F.col("unit").alias("comp"))
+        for found in (lambda: pairs, lambda: self.rest(active.join(labels, "unit"), sets)):
+            links = materialize(self.linked(found(), sets), "links")
+            if not links.isEmpty():
+                labels = self.relabelled(labels, links)
+        return labels
 
-    def proposals(self, postings: DataFrame, known: DataFrame, turn: int) -> DataFrame:
+    def proposals(self, postings: DataFrame, facts: DataFrame) -> DataFrame:
         """For each group the nearest of the pivots of its members, if one may be linked.
 
-        The pivot of a member is the group of the smallest id, later on of the
-        smallest hash: one pair per posting, and one per group to verify.
+        The pivot of a member is the group of the smallest id, and in further
+        turns that of the smallest hash: one pair per posting and turn, and one
+        per group and turn to verify.
         """
-        heads = known.filter("unit = lead")
-        rank = F.xxhash64(F.lit(turn), "lead") if turn else F.col("first")
-        ranked = postings.join(heads.select("lead", rank.alias("_rank")), "lead")
-        pivots = ranked.groupBy("member").agg(F.min(F.struct("_rank", "lead"))["lead"].alias("pivot"))
-        pairs = postings.join(pivots, "member").filter("lead != pivot").select("lead", "pivot").distinct()
-        facts = heads.select("unit", "comp", "n", "sketch")
-        a, b = _renamed(facts, "a"), _renamed(facts, "b")
+        heads = facts.filter("unit = lead")
+        ranks = [F.col("first"), *[F.xxhash64(F.lit(turn), "lead") for turn in range(1, PIVOTS)]]
+        ranked = heads.select("lead", *[r.alias(f"_rank{turn}") for turn, r in enumerate(ranks)])
+        pivots = postings.join(ranked, "lead").groupBy("member").agg(
+            *[F.min(F.struct(f"_rank{turn}", "lead"))["lead"].alias(f"_{turn}") for turn in range(PIVOTS)]
+        )
+        turns = F.posexplode(F.array(*[f"_{turn}" for turn in range(PIVOTS)])).alias("turn", "pivot")
+        pairs = (
+            postings.join(pivots, "member").select("lead", turns).filter("lead != pivot").distinct()
+        )
+        own = heads.select("unit", "n", "sketch")
+        a, b = _renamed(own, "a"), _renamed(own, "b")
         return (
             pairs.join(a, F.col("lead") == F.col("a_unit")).join(b, F.col("pivot") == F.col("b_unit"))
-            .filter("a_comp != b_comp").filter(self.may_link("a", "b"))
-            .groupBy(F.col("lead").alias("a"))
+            .filter(self.may_link("a", "b"))
+            .groupBy(F.col("lead").alias("a"), "turn")
             .agg(F.min(F.struct(self.apart("a", "b").alias("_apart"), F.col("pivot")))["pivot"].alias("b"))
+            .select("a", "b")
         )
 
     def rest(self, known: DataFrame, sets: DataFrame) -> DataFrame:
@@ -270,8 +262,12 @@ class _Join:
         crowds = self.crowded(plain)
         hit = plain.join(crowds, "member").select("unit").distinct()
         if not hit.isEmpty():
-            of_hit = sets.join(hit, "unit", "left_semi").join(known.select("unit", "comp"), "unit")
-            everywhere = of_hit.select("unit", "comp", F.explode("members").alias("member"))
+            of_hit = sets.join(hit, "unit", "left_semi").join(
+                known.select("unit", "comp", "prefix"), "unit"
+            )
+            # far enough for what may move up; any choice of members would be right
+            ahead = F.slice("members", 1, REACH * F.size("prefix") + REACH)
+            everywhere = of_hit.select("unit", "comp", F.explode(ahead).alias("member"))
             crowds = materialize(self.crowded(everywhere).unionByName(crowds).distinct(), "crowds")
             late = plain.join(crowds, "member").select("unit").distinct()
             late = sets.join(late, "unit", "left_semi")
@@ -308,7 +304,7 @@ class _Join:
     def crowded(self, postings: DataFrame) -> DataFrame:
         """Members in more than CROWD components, of (comp, member)."""
         return (
-            postings.select("member", "comp").distinct().groupBy("member").count()
+            postings.select("member", F.xxhash64("comp").alias("comp")).distinct().groupBy("member").count()
             .filter(F.col("count") > CROWD).select("member")
         )
 
