@@ -5,7 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tierframe.operators.joins import SkewPolicy  # noqa: E402
 from tierframe.session import build_session  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -26,12 +25,6 @@ def sf_dir():
     return SF_DIR
 
 
-@pytest.fixture
-def skewed():
-    """Treats every key above a tenth of the rows as hot, whatever the size."""
-    return SkewPolicy(share=0.1, rows_per_part=10, min_bytes=0)
-
-
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import plan_of, rows_of
 from tierframe.operators import joins as J
 from tierframe.operators import stats as ST
+from tierframe.plans.event_table import event_table
 from tierframe.plans.jets import event_stats, jet_table
 from tierframe.sources import views as V
 
@@ -64,47 +65,33 @@ def test_group_stats(lopsided):
     assert len(found) == len(expected_stats(lopsided.collect()))
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_wide_stats_are_the_same_on_both_ways(lopsided, skewed, split):
-    policy = skewed if split else J.DEFAULT_POLICY
+def test_wide_stats(lopsided):
     stats = [ST.Stat("x", "x", FIVE), ST.Stat("y", "y", ("sum",))]
-    found = ST.wide_group_stats(
-        lopsided, "k", stats, ("count(id) AS n",), doubled, policy
-    ).collect()
+    found = ST.wide_group_stats(lopsided, "k", stats, ("count(id) AS n",), doubled).collect()
     check(found, lopsided.collect())
     assert len({r.k for r in found}) == len(found)
     for r in found:
         assert r.k_y_sum == (None if r.k_x_sum is None else 2 * r.k_x_sum)
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_attached_stats_keep_every_row(lopsided, skewed, split):
-    policy = skewed if split else J.DEFAULT_POLICY
-    known = lopsided.filter("k is not null")
+def test_attached_stats_keep_every_row(lopsided):
     stats = [ST.Stat("x", "x", FIVE)]
-    wide = ST.with_wide_group_stats(known, "k", stats, {"n": "count(id)"}, doubled, policy)
-    plain = ST.with_group_stats(known, "k", stats, policy)
+    wide = ST.with_wide_group_stats(lopsided, "k", stats, {"n": "count(id)"}, doubled)
+    plain = ST.with_group_stats(lopsided, "k", stats)
     for df in (wide, plain):
         rows = df.collect()
-        check(rows, lopsided.collect())
-        assert sorted(r.id for r in rows) == sorted(r.id for r in known.collect())
-
-
-def test_rows_without_a_key_stay(lopsided, skewed):
-    for policy in (J.DEFAULT_POLICY, skewed):
-        rows = ST.with_group_stats(lopsided, "k", [ST.Stat("x", "x", ("sum",))], policy).collect()
-        assert len(rows) == 300
+        check([r for r in rows if r.k is not None], lopsided.collect())
+        assert sorted(r.id for r in rows) == list(range(300))
         assert all(r.k_x_sum is None for r in rows if r.k is None)
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 62])
-def test_wide_stats_keep_rows_without_a_key(lopsided, limit):
-    policy = J.SkewPolicy(share=0.1, rows_per_part=10, min_bytes=limit)
-    stats = [ST.Stat("x", "x", ("sum",))]
-    known = lopsided.filter("k is not null").count()
-    rows = ST.with_wide_group_stats(lopsided, "k", stats, policy=policy).collect()
-    assert sorted(r.id for r in rows) == list(range(300)) and known < 300
-    assert all(r.k_x_sum is None for r in rows if r.k is None)
+def test_a_hot_key_is_combined_before_the_last_shuffle(lopsided):
+    """Between the rows and the result stands a partial aggregate, so a group is
+    never gathered in one task; the raw rows are spread by a split-able shuffle."""
+    df = ST.wide_group_stats(lopsided, "k", [ST.Stat("x", "x", FIVE)], derive=doubled)
+    plan = plan_of(df)
+    assert "partial_sum" in plan and "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert "Window" not in plan
 
 
 def test_single_member_has_no_std(spark):
@@ -113,41 +100,41 @@ def test_single_member_has_no_std(spark):
     assert (r.k_x_std, r.k_x_sum, r.k_x_mean) == (None, 4.0, 4.0)
 
 
-def test_hot_keys_are_few_and_right(lopsided, skewed):
-    found = {r["k"]: r[J.PARTS] for r in J.hot_keys(lopsided, "k", skewed).collect()}
-    assert found == {0: 10}
-
-
-def test_hot_key_list_is_bounded_by_the_share(spark):
-    df = spark.range(5000).select((F.col("id") % 8).alias("k"))
-    policy = J.SkewPolicy(share=1 / 5, rows_per_part=1, min_bytes=0)
-    assert J.hot_keys(df, "k", policy).count() == 0
-    policy = J.SkewPolicy(share=1 / 10, rows_per_part=1, min_bytes=0)
-    assert J.hot_keys(df, "k", policy).count() == 8 <= 10
-
-
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join(spark, lopsided, skewed, how):
+def test_lookup_join(spark, lopsided, how):
     lookup = spark.createDataFrame([(k, f"v{k}") for k in range(30)], "k int, v string")
-    plain = rows_of(lopsided.join(lookup, "k", how), "id")
-    salted = J.lookup_join(lopsided, lookup, "k", how, skewed)
-    assert rows_of(salted.select("k", "id", "x", "v"), "id") == plain
-    assert J.SALT in plan_of(salted)
-
-
-def test_small_join_is_left_to_spark(spark):
-    rows = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
-    lookup = spark.range(7).select(F.col("id").alias("k"), F.col("id").alias("v"))
-    assert J.source_bytes(rows) == 800
-    assert J.SALT not in plan_of(J.lookup_join(rows, lookup, "k"))
-
-
-def test_hot_rows_spread_over_parts(spark, lopsided, skewed):
-    """No salted key keeps more than a fraction of the hot rows."""
-    lookup = spark.createDataFrame([(k, k) for k in range(41)], "k int, v int")
-    salted = J.lookup_join(lopsided, lookup, "k", "inner", skewed)
-    text = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "xxhash64" in text and "explode(sequence(0" in text
+    joined = J.lookup_join(lopsided, lookup, "k", how).select("id", "k", "v").collect()
+    known = {r.id: r.k for r in lopsided.collect()}
+    wanted = {i for i, k in known.items() if how == "left" or (k is not None and k < 30)}
+    assert {r.id for r in joined} == wanted and len(joined) == len(wanted)
+    assert all(r.v == (f"v{r.k}" if r.k is not None and r.k < 30 else None) for r in joined)
+
+
+def test_a_hot_key_is_split_when_joined(spark):
+    """Adaptive execution deals the rows of a hot key out over several tasks."""
+    held = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 200_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997).alias("k"), "id"
+        )
+        lookup = spark.range(997).select(F.col("id").alias("k"), F.col("id").alias("v"))
+        joined = J.lookup_join(rows, lookup, "k").withColumn("task", F.spark_partition_id())
+        # all keys: a filter on one would go below the join
+        hot = [r for r in joined.groupBy("k", "task").count().collect() if r.k == 0]
+        assert len(hot) > 1 and sum(r["count"] for r in hot) >= 66_667
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_lookup_join_rejects_other_kinds(lopsided):
@@ -164,13 +151,14 @@ def test_distinct_counts(spark):
     assert rows_of(ST.distinct_count(df, "k", "c", "n")) == [("a", 4), ("b", 1)]
 
 
-def test_vote_tie_goes_to_the_smallest(spark, skewed):
+def test_vote_tie_goes_to_the_smallest(spark):
     rows = [(1, "a", 5), (2, "a", 4), (3, "a", 5), (4, "a", 4), (5, "b", 21), (6, "b", 1), (7, "b", 21)]
     df = spark.createDataFrame(rows, "id int, k string, label int")
     expected = [(i, k, 4 if k == "a" else 21) for i, k, _ in rows]
-    for policy in (J.DEFAULT_POLICY, skewed):
-        voted = ST.vote(df, "k", "label", policy).select("id", "k", "label")
-        assert rows_of(voted) == expected
+    assert rows_of(ST.vote(df, "k", "label").select("id", "k", "label")) == expected
+    words = df.withColumn("label", F.lpad(F.col("label").cast("string"), 2, "0"))
+    wanted = [(i, k, f"{label:02d}") for i, k, label in expected]
+    assert rows_of(ST.vote(words, "k", "label").select("id", "k", "label")) == wanted
 
 
 def test_vote_ignores_row_order(spark):
@@ -186,21 +174,32 @@ def test_means_can_be_rounded(spark):
     assert r.k_x_mean == 0.333 and r.k_x_std != round(r.k_x_std, 3)
 
 
-def test_registered_sizes_need_no_split(spark, sf_dir):
-    """The small test tables take the plain way, a low limit the other one."""
-    jets = V.jets(spark, sf_dir)
-    assert J.needs_no_split(jets, J.DEFAULT_POLICY)
-    assert not J.needs_no_split(jets, J.SkewPolicy(min_bytes=1000))
-
-
-@pytest.mark.parametrize("table", [event_stats, jet_table])
-def test_event_statistics_do_not_depend_on_the_way(spark, sf_dir, table):
+def test_event_statistics_agree_with_the_attached_ones(spark, sf_dir):
     kinds = ("max", "min", "mean")
-    split = J.SkewPolicy(share=0.01, rows_per_part=5, min_bytes=0)
     columns = ["event_id", "event_id_count", "event_id_mass_sum", "event_id_px_max",
                "event_id_angle_xy_min", "event_id_speed"]
     jets = V.jets(spark, sf_dir)
-    assert J.hot_keys(jets, "event_id", split).count() > 3
-    plain = table(jets, kinds, 6).select(*columns)
-    other = table(jets, kinds, 6, split).select(*columns)
-    assert rows_of(plain) == rows_of(other)
+    attached = jet_table(jets, kinds, 6).select(*columns).distinct()
+    assert rows_of(event_stats(jets, kinds, 6).select(*columns)) == rows_of(attached)
+
+
+def test_events_of_many_children_keep_their_counts(spark):
+    """Counts and codes above 32,767 are no less exact than small ones."""
+    jets = spark.range(40_000).select(
+        F.col("id").alias("jet_id"),
+        F.lit(1).alias("event_id"),
+        F.lit(70_000).alias("number_of_particles_in_this_jet"),
+        *[F.lit(float(n)).alias(f"jet_{c}") for n, c in enumerate(("px", "py", "pz", "energy", "mass"), 1)],
+        F.lit(21).alias("label"),
+        F.lit("train").alias("split"),
+    )
+    particles = spark.createDataFrame(
+        [(0, 1000020040, 1.0, 2.0, 3.0, 4.0, 5.0, 1)],
+        "jet_id long, particle_category int, particle_px double, particle_py double,"
+        " particle_pz double, particle_energy double, particle_mass double, line_number int",
+    )
+    events = spark.createDataFrame([(1, 40_000)], "event_id int, number_of_jet_in_this_event int")
+    (row,) = event_table(particles, jets, events, ["line_number"], k_particles=2, k_jets=2).collect()
+    assert row.event_id_count == 40_000 and row.event_id_number_particles_max == 70_000
+    assert row.j0_number_of_particles_in_this_jet == 70_000
+    assert row.j0_p0_particle_category == 1000020040

@@ -58,13 +58,9 @@ def jets(spark):
     return spark.createDataFrame(rows, "id int, event int, label int").cache()
 
 
-@pytest.mark.parametrize("split", [False, True])
 @pytest.mark.parametrize("assign", [FD.group_folds, FD.balanced_group_folds])
-def test_a_group_never_spans_folds(jets, skewed, assign, split):
-    if split and assign is FD.balanced_group_folds:
-        folded = assign(jets, "event", 5, policy=skewed).collect()
-    else:
-        folded = assign(jets, "event", 5).collect()
+def test_a_group_never_spans_folds(jets, assign):
+    folded = assign(jets, "event", 5).collect()
     assert len(folded) == jets.count()
     assert len({(r.event, r.fold) for r in folded}) == 80
     assert {r.fold for r in folded} == set(range(5))
@@ -80,6 +76,26 @@ def test_balanced_folds_differ_by_one_group_per_size(jets):
         assert max(counts) - min(counts) <= 1
 
 
+def test_balanced_folds_keep_rows_without_a_group(spark):
+    df = spark.createDataFrame([(1, 7), (2, None), (3, None), (4, 8)], "id int, event int")
+    folds = {r.id: r.fold for r in FD.balanced_group_folds(df, "event", 5).collect()}
+    assert set(folds) == {1, 2, 3, 4} and folds[2] == folds[3] == 0
+
+
+def test_ranks_shuffle_the_rows_once(spark):
+    df = spark.range(0, 1000, 1, 8).select("id", (F.col("id") % 2).alias("g"))
+    held = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(held)
+    spark.conf.set(held, "-1")
+    try:
+        plan = plan_of(hash_rank(df, "g", "id", "r"))
+    finally:
+        spark.conf.set(held, before)
+    rows = [x for x in plan.split("\n") if "Exchange hashpartitioning(_none" in x]
+    # the rows once, the counts of the ranges three times
+    assert len(rows) == 4 and "RangePartitioning" not in plan
+
+
 def test_stratified_folds_keep_the_label_mix(jets):
     folded = FD.stratified_folds(jets, "label", "id").collect()
     assert len(folded) == jets.count()

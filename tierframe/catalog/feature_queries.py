@@ -60,7 +60,7 @@ def jet_id_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     particles = V.particles(spark, sf_dir).select(*PARTICLE_ID, "particle_px")
     every = ("count", "max", "mean", "min", "std", "sum")
     return stored(
-        with_group_stats(particles, "jet_id", [Stat("particle_px", "px", every)], salt_by=PARTICLE_ID)
+        with_group_stats(particles, "jet_id", [Stat("particle_px", "px", every)])
     )
 
 

@@ -334,14 +334,14 @@ flat_particle AS (
 def event_table(flat: str, jet_names: list[str], particle_names: list[str], stat: str) -> str:
     def types(name: str) -> str:
         if name == "number_of_particles_in_this_jet":
-            return "SMALLINT"
+            return "INTEGER"
         return slot_type(name)
 
     columns = JET_RAW + JET_DERIVED + jet_names + particle_names
     return sql(
         ["event_stat", stat, "ranked", "event"],
         f"""
-SELECT number_of_jet_in_this_event, CAST(event_id_count AS SMALLINT) AS event_id_count,
+SELECT number_of_jet_in_this_event, event_id_count,
        {event_stat_casts()}, wide.*
 FROM wide JOIN event_stat USING (event_id) JOIN event USING (event_id)""",
         flat.strip()
@@ -360,7 +360,7 @@ wide AS (
 def event_stat_casts() -> str:
     whole = {"event_id_number_particles_max", "event_id_number_particles_min"}
     return ", ".join(
-        f"CAST({n} AS SMALLINT) AS {n}" if n in whole else floats([n]) for n in EVENT_STAT_NAMES[1:]
+        f"CAST({n} AS INTEGER) AS {n}" if n in whole else floats([n]) for n in EVENT_STAT_NAMES[1:]
     )
 
 
@@ -642,10 +642,10 @@ ORACLES = {
     "narrow_cast": sql(
         ["particle"],
         f"""SELECT jet_id, part_key, supplier_key,
-            CAST(particle_category AS SMALLINT) AS particle_category,
+            particle_category,
             {floats(["particle_px", "particle_py", "particle_pz", "particle_energy",
                      "particle_mass"])},
-            CAST(TRY_CAST(jet_id * 4 AS SMALLINT) AS DOUBLE) AS too_wide FROM particle""",
+            jet_id * 4 AS too_wide FROM particle""",
     ),
     "cast_slots": sql(
         ["ranked"],

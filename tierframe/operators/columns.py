@@ -46,19 +46,16 @@ def rename_all(df: DataFrame, pattern: str, start: int = 0) -> DataFrame:
 
 
 def narrow(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
-    """Halve the storage: double -> float, integers -> smallint.
+    """Halve the storage of the features: double -> float, but for ``keep``.
 
-    An integer outside the smallint range becomes NULL, so name ids and other
-    wide integers in ``keep``.  -0.0 is stored as 0.0: the two compare equal,
-    so the least of a group could be either, by order of arrival.
+    Integers stay as they are: a value that does not fit a narrower type would be
+    lost, and parquet writes small ones in few bits anyway.  -0.0 is stored as
+    0.0: the two compare equal, so the least of a group could be either, by order
+    of arrival.
     """
     kept = set(keep)
     # by type name; text, because feature tables have hundreds of columns
-    casts = {
-        "double": "CAST(`{0}` AS FLOAT) + 0F AS `{0}`",
-        "int": "try_cast(`{0}` AS SMALLINT) AS `{0}`",
-        "bigint": "try_cast(`{0}` AS SMALLINT) AS `{0}`",
-    }
+    casts = {"double": "CAST(`{0}` AS FLOAT) + 0F AS `{0}`"}
     return df.selectExpr(
         *[
             f"`{name}`" if name in kept else casts.get(dtype, "`{0}`").format(name)

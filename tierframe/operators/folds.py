@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierframe.operators.joins import DEFAULT_POLICY, SkewPolicy, lookup_join
+from tierframe.operators.joins import lookup_join
 from tierframe.operators.ranking import hash_order, hash_rank
 
 
@@ -21,23 +21,21 @@ def group_folds(df: DataFrame, group: str, n: int = 5, name: str = "fold") -> Da
 
 
 def balanced_group_folds(
-    df: DataFrame,
-    group: str,
-    n: int = 5,
-    name: str = "fold",
-    policy: SkewPolicy = DEFAULT_POLICY,
+    df: DataFrame, group: str, n: int = 5, name: str = "fold"
 ) -> DataFrame:
     """Group k-fold with near-equal row counts.
 
     The groups of each size are dealt out in hash order, forth and back
-    (0..n-1, n-1..0), so two folds differ by at most one group per size.
+    (0..n-1, n-1..0), so two folds differ by at most one group per size.  Rows
+    without a group stay together in fold 0.
     """
-    return lookup_join(df, fold_of_group(df, group, n, name), group, "inner", policy)
+    folds = fold_of_group(df.filter(F.col(group).isNotNull()), group, n, name)
+    return lookup_join(df, folds, group, "left").fillna(0, [name])
 
 
 def fold_of_group(df: DataFrame, group: str, n: int, name: str = "fold") -> DataFrame:
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("size"))
-    dealt = hash_rank(sizes, "size", group, "position", seed="fold", digits=3)
+    dealt = hash_rank(sizes, "size", group, "position", seed="fold")
     step = F.pmod(F.col("position"), F.lit(2 * n))
     fold = F.when(step < n, step).otherwise(2 * n - 1 - step)
     return dealt.select(group, fold.cast("int").alias(name))

@@ -1,8 +1,7 @@
 """Statistics per group, alone or attached to every row of the group.
 
-Where one group may hold a large share of the rows, the rows are combined
-before the shuffle.  Plans that gather a group in one task, such as a window,
-are used for groups only that were found not to be hot.
+Rows are always combined before the shuffle that decides, so no task ever holds
+a whole group, and the plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -13,13 +12,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierframe.operators.joins import (
-    DEFAULT_POLICY,
-    SkewPolicy,
-    hot_keys,
-    lookup_join,
-    needs_no_split,
-)
+from tierframe.operators.joins import lookup_join
+from tierframe.sources.staging import materialize
 
 # Statistic -> SQL aggregate.
 AGGREGATES = {
@@ -45,10 +39,10 @@ class Stat:
     kinds: tuple[str, ...]
     digits: int | None = None
 
-    def texts(self, key: str, frame: str = "") -> list[str]:
-        """SQL text of the statistics, as aggregates or over a window."""
+    def texts(self, key: str) -> list[str]:
+        """SQL text of the statistics."""
         return [
-            f"{self._rounded(kind, over(f'{AGGREGATES[kind]}({self.source})', key, frame))}"
+            f"{self._rounded(kind, f'{AGGREGATES[kind]}({self.source})')}"
             f" AS {key}_{self.family}_{kind}"
             for kind in self.kinds
         ]
@@ -57,11 +51,6 @@ class Stat:
         return f"round({text}, {self.digits})" if kind == "mean" and self.digits else text
 
 
-def over(aggregate: str, key: str, frame: str) -> str:
-    """The aggregate over the frame; NULL for the rows without a key."""
-    return f"if({key} IS NULL, NULL, {aggregate} {frame})" if frame else aggregate
-
-
 def with_digits(stats: list[Stat], digits: int | None) -> list[Stat]:
     return [replace(stat, digits=digits) for stat in stats]
 
@@ -95,31 +84,21 @@ def wide_group_stats(
     stats: list[Stat],
     extra: tuple[str, ...] = (),
     derive: Callable[[DataFrame], DataFrame] = _unchanged,
-    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """The same result for many statistics of small groups.
 
     Hundreds of aggregates make a partial result far wider than the few rows
-    it stands for.  So the raw rows are shuffled, and ``derive`` runs after
-    that.  Hot keys are the exception: those are combined first.
+    it stands for.  So the raw rows are brought together by key first and
+    ``derive`` runs after that.  The rebalancing may split the partition of a hot
+    key, which is why the combined rows, about one per group, are shuffled once
+    more to be finished.
     """
-    if needs_no_split(rows, policy):
-        return group_stats(rows.repartition(key), key, stats, extra, derive)
-    usual, crowded = split_hot(rows, key, policy)
-    return group_stats(usual.repartition(key), key, stats, extra, derive).unionByName(
-        group_stats(crowded, key, stats, extra, derive)
-    )
+    return group_stats(rows.hint("rebalance", key), key, stats, extra, derive)
 
 
-def with_group_stats(
-    rows: DataFrame,
-    key: str,
-    stats: list[Stat],
-    policy: SkewPolicy = DEFAULT_POLICY,
-    salt_by: list[str] | None = None,
-) -> DataFrame:
+def with_group_stats(rows: DataFrame, key: str, stats: list[Stat]) -> DataFrame:
     """Every row, with the statistics of its group."""
-    return lookup_join(rows, group_stats(rows, key, stats), key, "left", policy, salt_by)
+    return lookup_join(rows, group_stats(rows, key, stats), key, "left")
 
 
 def with_wide_group_stats(
@@ -128,40 +107,17 @@ def with_wide_group_stats(
     stats: list[Stat],
     extra: dict[str, str] | None = None,
     derive: Callable[[DataFrame], DataFrame] = _unchanged,
-    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Every row, derived, with many statistics of its small group.
 
-    One shuffle of the raw rows and one window serve all statistics.  The rows
-    of hot keys do not move: their statistics, one row per hot key, are
-    broadcast to them.  Rows without a key have NULL statistics.  ``extra``
-    maps further names to aggregates.
+    The raw rows are staged, as they are read twice: for the statistics and for
+    the join with them.  Rows without a key have NULL statistics.  ``extra`` maps
+    further names to aggregates.
     """
-    extra = extra or {}
-
-    def windowed(part: DataFrame) -> DataFrame:
-        frame = f"OVER (PARTITION BY {key})"
-        texts = [text for stat in stats for text in stat.texts(key, frame)]
-        more = [f"{over(sql, key, frame)} AS {name}" for name, sql in extra.items()]
-        return derive(part).selectExpr("*", *more, *texts)
-
-    if needs_no_split(rows, policy):
-        return windowed(rows)
-    usual, crowded = split_hot(rows, key, policy)
-    aggregates = tuple(f"{aggregate} AS {name}" for name, aggregate in extra.items())
-    few = F.broadcast(group_stats(crowded, key, stats, aggregates, derive))
-    staying = crowded.unionByName(rows.filter(F.col(key).isNull()))
-    return windowed(usual.filter(F.col(key).isNotNull())).unionByName(
-        derive(staying).join(few, key, "left")
-    )
-
-
-def split_hot(
-    rows: DataFrame, key: str, policy: SkewPolicy
-) -> tuple[DataFrame, DataFrame]:
-    """(rows of other keys, rows of hot keys)."""
-    hot = F.broadcast(hot_keys(rows, key, policy))
-    return rows.join(hot, key, "left_anti"), rows.join(hot, key, "left_semi")
+    aggregates = tuple(f"{aggregate} AS {name}" for name, aggregate in (extra or {}).items())
+    rows = materialize(rows, "rows")
+    per_group = wide_group_stats(rows, key, stats, aggregates, derive)
+    return lookup_join(derive(rows), per_group, key, "left")
 
 
 def distinct_count(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
@@ -194,21 +150,17 @@ def signed_distinct_count(
 
 
 def majority(df: DataFrame, key: str, column: str) -> DataFrame:
-    """Most frequent value per key; the smallest one wins a tie."""
+    """Most frequent value per key, of any ordered type; the smallest one wins a tie."""
     votes = df.filter(F.col(column).isNotNull()).groupBy(key, column).agg(
         F.count(F.lit(1)).alias("votes")
     )
-    best = F.max(F.struct(F.col("votes"), (-F.col(column)).alias("negated")))
-    return votes.groupBy(key).agg(best.alias("best")).select(
-        key, (-F.col("best.negated")).alias(column)
-    )
+    best = F.min(F.struct((-F.col("votes")).alias("fewer"), F.col(column)))
+    return votes.groupBy(key).agg(best.alias("best")).select(key, f"best.{column}")
 
 
-def vote(
-    df: DataFrame, key: str, column: str, policy: SkewPolicy = DEFAULT_POLICY
-) -> DataFrame:
+def vote(df: DataFrame, key: str, column: str) -> DataFrame:
     """Replace the value of each row by the majority of its group."""
-    return lookup_join(df.drop(column), majority(df, key, column), key, "left", policy)
+    return lookup_join(df.drop(column), majority(df, key, column), key, "left")
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierframe.functions import scalar as S
-from tierframe.operators.joins import DEFAULT_POLICY, SkewPolicy
 from tierframe.operators.stats import Stat, wide_group_stats, with_wide_group_stats
 
 KEY = "event_id"
@@ -106,14 +105,13 @@ def event_stats(
     jets: DataFrame,
     kinds: tuple[str, ...] = FOUR,
     digits: int | None = None,
-    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """One row per event over all of its raw jets: count, the families, sums
     and the speed of the whole event.  ``kinds`` narrows the families and
     ``digits`` rounds their means."""
     count = ("count(jet_id) AS event_id_count",)
     stats = _event_stat_list(kinds, digits)
-    grouped = wide_group_stats(jets, KEY, stats, count, jet_features, policy)
+    grouped = wide_group_stats(jets, KEY, stats, count, jet_features)
     return with_event_speed(grouped)
 
 
@@ -121,13 +119,12 @@ def jet_table(
     jets: DataFrame,
     kinds: tuple[str, ...] = FOUR,
     digits: int | None = None,
-    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Every jet with its features and the statistics of its event."""
     count = {"event_id_count": "count(jet_id)"}
     stats = _event_stat_list(kinds, digits)
     return with_event_speed(
-        with_wide_group_stats(jets, KEY, stats, count, jet_features, policy)
+        with_wide_group_stats(jets, KEY, stats, count, jet_features)
     )
 
 

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even if what follows needs a shuffle for it
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # covers the 260 event statistics, which run twice as fast when compiled; the
     # flattened tables are wider than generated methods may get
     "spark.sql.codegen.maxFields": "600",

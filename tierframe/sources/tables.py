@@ -46,12 +46,24 @@ def sample_schema(id_type: T.DataType = T.StringType()) -> T.StructType:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header row.  Columns are found by header name, so a file may
-    have more of them and in another order; NaN becomes NULL here, once."""
+    have more of them and in another order; NaN becomes NULL here, once.
+
+    All files of a path share one header.  A missing column is an error here, a
+    cell that does not fit its type or a header unlike the first one when the
+    rows are read.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    known = {f.name: f.dataType for f in schema.fields}
+    if absent := sorted(set(known) - set(header)):
+        raise ValueError(f"{path} lacks the columns {', '.join(absent)}")
+    in_file = T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in header])
     df = (
-        spark.read.schema(schema)
+        spark.read.schema(in_file)
         .option("header", True)
         .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .csv(path)
+        .select(*known)
     )
     doubles = [f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)]
     return df.withColumns({c: nan_to_null(F.col(c)) for c in doubles}) if doubles else df
