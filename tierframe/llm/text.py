@@ -25,7 +25,7 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def chunks(values: list, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def chunks(values: list, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of the list that hold about ``limit`` characters or bytes each.
 
     A value is never cut, so a longer one is a range of its own.
