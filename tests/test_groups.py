@@ -168,6 +168,15 @@ def test_vote_ignores_row_order(spark):
     assert rows_of(ST.majority(df, "k", "label")) == rows_of(ST.majority(back, "k", "label"))
 
 
+def test_labels_have_to_agree(spark):
+    rows = [("a", 1), ("a", 1), ("a", None), ("b", 1), ("b", 2), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, label int")
+    assert rows_of(ST.agreement(df, "k", "label")) == [("a", 1, True), ("b", 2, False), ("c", 0, True)]
+    ST.require_agreement(df.filter("k != 'b'"), "k", "label")
+    with pytest.raises(ValueError, match="'b'"):
+        ST.require_agreement(df, "k", "label")
+
+
 def test_means_can_be_rounded(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 0.0), ("a", 0.0)], "k string, x double")
     r = ST.group_stats(df, "k", [ST.Stat("x", "x", ("mean", "std"), 3)]).first()

@@ -682,11 +682,26 @@ ORACLES = {
     "profile": sql(
         ["jet"],
         " UNION ALL ".join(
-            f"""SELECT {i} AS position, '{n}' AS column_name, count(*) AS n_rows,
+            f"""SELECT {i} AS position, '{n}' AS column_name, '{t}' AS dtype, count(*) AS n_rows,
                 count({n}) AS n_present FROM jet"""
-            for i, n in enumerate(["jet_id", "event_id", *JET_RAW, "label", "split"])
+            for i, (n, t) in enumerate(
+                [("jet_id", "bigint"), ("event_id", "bigint"), (JET_RAW[0], "int")]
+                + [(n, "double") for n in JET_RAW[1:]]
+                + [("label", "int"), ("split", "string")]
+            )
         ),
     ),
+    "label_agreement": sql(
+        ["jet"],
+        """SELECT event_id, count(DISTINCT label) AS n_values, count(DISTINCT label) <= 1 AS agrees
+           FROM jet GROUP BY event_id""",
+    ),
+    "status_agreement": sql(
+        ["particle"],
+        """SELECT supplier_key, count(DISTINCT particle_category) AS n_values,
+                  count(DISTINCT particle_category) <= 1 AS agrees
+           FROM particle GROUP BY supplier_key""",
+    ),
     "describe_columns": sql(
         ["jet"],
         f"""SELECT column_name, count(value) AS count, CAST(avg(value) AS FLOAT) AS mean,

@@ -17,7 +17,7 @@ from tierframe.functions.classes import (
 from tierframe.operators import columns as C
 from tierframe.operators.profile import describe, importance_report, melt, table_profile
 from tierframe.operators.slots import flatten
-from tierframe.operators.stats import distinct_keys, vote
+from tierframe.operators.stats import agreement, distinct_keys, vote
 from tierframe.plans import event_table as E
 from tierframe.plans.jets import jet_features, jet_table
 from tierframe.plans.submission import fan_out, fill_sample, predicted_labels
@@ -211,7 +211,18 @@ def distinct_event_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_profile(V.jets(spark, sf_dir)).drop("dtype")
+    return table_profile(V.jets(spark, sf_dir))
+
+
+def label_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event: how many labels its jets carry, and whether that is at most one."""
+    return agreement(V.jets(spark, sf_dir), "event_id", "label")
+
+
+def status_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same check on a column that does differ inside a group."""
+    particles = V.particles(spark, sf_dir)
+    return agreement(particles, "supplier_key", "particle_category")
 
 
 def describe_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,6 +306,8 @@ QUERIES = {
         drift_union,
         distinct_event_keys,
         profile,
+        label_agreement,
+        status_agreement,
         describe_columns,
         importance_share,
         label_map,

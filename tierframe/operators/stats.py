@@ -149,6 +149,25 @@ def signed_distinct_count(
     )
 
 
+def agreement(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, n_values, agrees): distinct values of each group, NULL not counted.
+
+    The check before one value may stand for a group: see ``require_agreement``.
+    """
+    return (
+        df.groupBy(key, column).agg(F.lit(1)).groupBy(key)
+        .agg(F.count(column).alias("n_values"))
+        .withColumn("agrees", F.col("n_values") <= 1)
+    )
+
+
+def require_agreement(df: DataFrame, key: str, column: str) -> None:
+    """An error that names some groups if any holds several values."""
+    odd = agreement(df, key, column).filter("NOT agrees").select(key).limit(5).collect()
+    if odd:
+        raise ValueError(f"several values of {column} in {key} {[r[0] for r in odd]}")
+
+
 def majority(df: DataFrame, key: str, column: str) -> DataFrame:
     """Most frequent value per key, of any ordered type; the smallest one wins a tie."""
     votes = df.filter(F.col(column).isNotNull()).groupBy(key, column).agg(
