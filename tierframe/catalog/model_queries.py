@@ -199,7 +199,8 @@ def tree_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _, features = _jet_training(spark, sf_dir)
     model = TREES.fit(train, "class")
     gains = spark.createDataFrame(model.importance(features), "feature string, gain double")
-    return importance_report(gains, 50)
+    splits = spark.createDataFrame(model.split_counts(features), "feature string, n_splits int")
+    return importance_report(gains, 50).join(splits, "feature")
 
 
 def oof_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
