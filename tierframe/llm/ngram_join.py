@@ -161,7 +161,7 @@ class _Join:
         both = F.size(F.array_intersect("_x", "_y"))
         either = F.size("_x") + F.size("_y") - both
         return (
-            pairs.select("a", "b").distinct().join(first, "a").join(second, "b")
+            pairs.join(first, "a").join(second, "b")
             .filter(both * self.den >= either * self.num).select("a", "b")
         )
 
@@ -198,18 +198,24 @@ class _Join:
         active = materialize(
             grouped.join(live, "lead", "left").filter("_live OR _units > 1").drop("_live"), "active"
         )
-        wanted = active.select(F.col("first").alias("doc_id")).distinct()
-        sets = whole_sets(self.docs.join(wanted, "doc_id", "left_semi"), self.n)
-        # ids that repeat bring other sets along
-        sets = materialize(
-            sets.join(active.select("unit"), "unit", "left_semi").dropDuplicates(["unit"]), "sets"
-        )
-        labels = self.connected(active, postings, sets)
+        labels = self.connected(active, postings)
         return signed.select("doc_id", "n", "unit").join(
             labels.select("unit", F.col("comp").alias("label")), "unit", "left"
         )
 
-    def connected(self, active: DataFrame, postings: DataFrame, sets: DataFrame) -> DataFrame:
+    def sets_of(self, units: DataFrame) -> DataFrame:
+        """Whole sets (unit, members) of some units (unit, first), from their texts.
+
+        Sets are made where they are looked at: most documents share a member
+        with another one, few of them come near it.
+        """
+        ids = units.select(F.col("first").alias("doc_id")).distinct()
+        made = whole_sets(self.docs.join(ids, "doc_id", "left_semi"), self.n)
+        # an id that repeats brings other sets along, or the same one again
+        wanted = units.select("unit").distinct()
+        return materialize(made.join(wanted, "unit", "left_semi").dropDuplicates(["unit"]), "sets")
+
+    def connected(self, active: DataFrame, postings: DataFrame) -> DataFrame:
         facts = active.select("unit", "lead", "first", "n", "sketch")
         inside = (
             _renamed(facts.filter("unit != lead"), "a")
@@ -217,10 +223,15 @@ class _Join:
             .filter(self.may_link("a", "b"))
             .select(F.col("a_unit").alias("a"), F.col("b_unit").alias("b"))
         )
-        pairs = materialize(inside.unionByName(self.proposals(postings, facts)), "pairs")
         labels = active.select("unit", F.col("unit").alias("comp"))
-        for found in (lambda: pairs, lambda: self.rest(active.join(labels, "unit"), sets)):
-            links = materialize(self.linked(found(), sets), "links")
+        for found in (
+            lambda: inside.unionByName(self.proposals(postings, facts)),
+            lambda: self.rest(materialize(active.join(labels, "unit"), "known")),
+        ):
+            pairs = materialize(found().distinct(), "pairs")
+            ends = pairs.select(F.explode(F.array("a", "b")).alias("unit")).distinct()
+            sets = self.sets_of(ends.join(active.select("unit", "first"), "unit"))
+            links = materialize(self.linked(pairs, sets), "links")
             if not links.isEmpty():
                 labels = self.relabelled(labels, links)
         return labels
@@ -252,39 +263,43 @@ class _Join:
             .select("a", "b")
         )
 
-    def rest(self, known: DataFrame, sets: DataFrame) -> DataFrame:
+    def rest(self, known: DataFrame) -> DataFrame:
         """Every pair of units in different components that may be linked, by prefixes.
 
         The order is first made so that crowded members come last: any fixed
         order gives every similar pair a common member in its prefixes.
         """
         plain = known.select("unit", "comp", F.explode("prefix").alias("member"))
-        crowds = self.crowded(plain)
-        hit = plain.join(crowds, "member").select("unit").distinct()
-        if not hit.isEmpty():
-            of_hit = sets.join(hit, "unit", "left_semi").join(
-                known.select("unit", "comp", "prefix"), "unit"
-            )
+        crowds = materialize(self.crowded(plain), "crowds")
+        if not crowds.isEmpty():
+            ids = known.select("unit", "first")
+            hit = materialize(plain.join(crowds, "member").select("unit").distinct(), "hit")
+            sets = self.sets_of(ids.join(hit, "unit"))
             # far enough for what may move up; any choice of members would be right
             ahead = F.slice("members", 1, REACH * F.size("prefix") + REACH)
-            everywhere = of_hit.select("unit", "comp", F.explode(ahead).alias("member"))
+            everywhere = sets.join(known.select("unit", "comp", "prefix"), "unit").select(
+                "unit", "comp", F.explode(ahead).alias("member")
+            )
             crowds = materialize(self.crowded(everywhere).unionByName(crowds).distinct(), "crowds")
-            late = plain.join(crowds, "member").select("unit").distinct()
-            late = sets.join(late, "unit", "left_semi")
+            more = plain.join(crowds, "member").select("unit").distinct().join(hit, "unit", "left_anti")
+            sets = sets.unionByName(self.sets_of(ids.join(more, "unit")))
             last = (
-                late.select("unit", F.explode("members").alias("member")).join(crowds, "member")
+                sets.select("unit", F.explode("members").alias("member")).join(crowds, "member")
                 .groupBy("unit").agg(F.collect_list("member").alias("_crowded"))
             )
             ordered = F.concat(
                 F.array_except("members", "_crowded"), F.array_intersect("members", "_crowded")
             )
-            moved = late.join(last, "unit").select("unit", ordered.alias("_ordered"))
-            known = known.join(moved, "unit", "left").withColumn(
-                "prefix",
-                F.when(F.col("_ordered").isNull(), F.col("prefix")).otherwise(
-                    F.slice("_ordered", 1, F.size("prefix"))
-                ),
-            ).drop("_ordered")
+            moved = sets.join(last, "unit").select("unit", ordered.alias("_ordered"))
+            prefix = F.slice("_ordered", 1, F.size("prefix"))
+            moved = moved.join(known.select("unit", "prefix"), "unit").select(
+                "unit", prefix.alias("_moved")
+            )
+            known = materialize(
+                known.join(moved, "unit", "left")
+                .withColumn("prefix", F.coalesce("_moved", "prefix")).drop("_moved"),
+                "known",
+            )
             plain = known.select("unit", "comp", F.explode("prefix").alias("member"))
         mixed = (
             plain.groupBy("member").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
