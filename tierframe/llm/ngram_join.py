@@ -39,7 +39,9 @@ PIVOTS = 3
 # a member shared by more unconnected components than this goes to the end
 CROWD = 64
 # lengths of the prefix in which crowds are looked for
-REACH = 4
+REACH = 3
+# members, of eight bytes each, that are broadcast at most
+FEW = 200_000
 # bits of the parity sketch, which bounds the difference of two sets from below
 SKETCH = 512
 LONGS = SKETCH // 64
@@ -116,16 +118,22 @@ def signatures(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     )
 
 
-def whole_sets(docs: DataFrame, n: int) -> DataFrame:
-    """unit and members, the whole set in ascending order of its unsigned hashes."""
+def member_lists(docs: DataFrame, n: int, reach: int | None, num: int, den: int) -> DataFrame:
+    """unit and members: the set in ascending order of its unsigned hashes.
+
+    The whole of it, or so many of the first ones as ``reach`` prefixes have.
+    """
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(text, n) for text in batch.column("text").to_pylist()]
+            units = [_digest(s) if len(s) else None for s in sets]
+            if reach:
+                sets = [s[: reach * (prefix_length(len(s), num, den) + 1)] for s in sets]
             flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.array(units, pa.binary()),
                     ragged(flat, np.array([len(s) for s in sets], np.int64), pa.int64()),
                 ],
                 ["unit", "members"],
@@ -138,6 +146,11 @@ def _renamed(df: DataFrame, side: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
 
 
+def few(members: DataFrame) -> DataFrame:
+    """Broadcast if there are at most FEW; a larger table is shuffled to its rows."""
+    return F.broadcast(members) if members.limit(FEW + 1).count() <= FEW else members
+
+
 class _Join:
     def __init__(self, docs: DataFrame, n: int, num: int, den: int):
         self.docs, self.n, self.num, self.den = docs, n, num, den
@@ -203,14 +216,15 @@ class _Join:
             labels.select("unit", F.col("comp").alias("label")), "unit", "left"
         )
 
-    def sets_of(self, units: DataFrame) -> DataFrame:
-        """Whole sets (unit, members) of some units (unit, first), from their texts.
+    def sets_of(self, units: DataFrame, reach: int | None = None) -> DataFrame:
+        """Members (unit, members) of some units (unit, first), from their texts.
 
         Sets are made where they are looked at: most documents share a member
         with another one, few of them come near it.
         """
         ids = units.select(F.col("first").alias("doc_id")).distinct()
-        made = whole_sets(self.docs.join(ids, "doc_id", "left_semi"), self.n)
+        near = self.docs.join(ids, "doc_id", "left_semi")
+        made = member_lists(near, self.n, reach, self.num, self.den)
         # an id that repeats brings other sets along, or the same one again
         wanted = units.select("unit").distinct()
         return materialize(made.join(wanted, "unit", "left_semi").dropDuplicates(["unit"]), "sets")
@@ -273,28 +287,24 @@ class _Join:
         crowds = materialize(self.crowded(plain), "crowds")
         if not crowds.isEmpty():
             ids = known.select("unit", "first")
-            hit = materialize(plain.join(crowds, "member").select("unit").distinct(), "hit")
-            sets = self.sets_of(ids.join(hit, "unit"))
+            hit = materialize(plain.join(few(crowds), "member").select("unit").distinct(), "hit")
             # far enough for what may move up; any choice of members would be right
-            ahead = F.slice("members", 1, REACH * F.size("prefix") + REACH)
-            everywhere = sets.join(known.select("unit", "comp", "prefix"), "unit").select(
-                "unit", "comp", F.explode(ahead).alias("member")
+            heads = self.sets_of(ids.join(hit, "unit"), REACH)
+            everywhere = heads.join(known.select("unit", "comp"), "unit").select(
+                "unit", "comp", F.explode("members").alias("member")
             )
             crowds = materialize(self.crowded(everywhere).unionByName(crowds).distinct(), "crowds")
-            more = plain.join(crowds, "member").select("unit").distinct().join(hit, "unit", "left_anti")
-            sets = sets.unionByName(self.sets_of(ids.join(more, "unit")))
-            last = (
-                sets.select("unit", F.explode("members").alias("member")).join(crowds, "member")
-                .groupBy("unit").agg(F.collect_list("member").alias("_crowded"))
-            )
-            ordered = F.concat(
-                F.array_except("members", "_crowded"), F.array_intersect("members", "_crowded")
-            )
-            moved = sets.join(last, "unit").select("unit", ordered.alias("_ordered"))
-            prefix = F.slice("_ordered", 1, F.size("prefix"))
-            moved = moved.join(known.select("unit", "prefix"), "unit").select(
-                "unit", prefix.alias("_moved")
+            more = plain.join(few(crowds), "member").select("unit").distinct()
+            more = more.join(hit, "unit", "left_anti")
+            heads = heads.unionByName(self.sets_of(ids.join(more, "unit"), REACH))
+            moved = self.reordered(heads, crowds, known)
+            # too little is left of the heads: the whole sets are needed
+            short = moved.filter("free < size(prefix) AND size(members) < n").select("unit")
+            whole = self.sets_of(ids.join(short, "unit"))
+            moved = moved.join(short, "unit", "left_anti").unionByName(
+                self.reordered(whole, crowds, known)
             )
+            moved = moved.select("unit", F.slice("ordered", 1, F.size("prefix")).alias("_moved"))
             known = materialize(
                 known.join(moved, "unit", "left")
                 .withColumn("prefix", F.coalesce("_moved", "prefix")).drop("_moved"),
@@ -316,6 +326,21 @@ class _Join:
             F.col("a_unit").alias("a"), F.col("b_unit").alias("b")
         )
 
+    def reordered(self, lists: DataFrame, crowds: DataFrame, known: DataFrame) -> DataFrame:
+        """unit, n, prefix, members, ordered (crowded members last) and free (how many are not)."""
+        last = (
+            lists.select("unit", F.explode("members").alias("member")).join(few(crowds), "member")
+            .groupBy("unit").agg(F.collect_list("member").alias("_crowded"))
+        )
+        free = F.array_except("members", "_crowded")
+        return materialize(
+            lists.join(last, "unit").join(known.select("unit", "n", "prefix"), "unit").select(
+                "unit", "n", "prefix", "members", F.size(free).alias("free"),
+                F.concat(free, F.array_intersect("members", "_crowded")).alias("ordered"),
+            ),
+            "reordered",
+        )
+
     def crowded(self, postings: DataFrame) -> DataFrame:
         """Members in more than CROWD components, of (comp, member)."""
         return (
