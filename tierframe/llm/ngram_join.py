@@ -157,10 +157,16 @@ class _Join:
 
     def may_link(self, a: str, b: str) -> Column:
         """By size and sketch, for pairs with columns a_n, a_sketch, b_n, b_sketch."""
-        na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
-        sizes = (na * self.den >= nb * self.num) & (nb * self.den >= na * self.num)
-        apart = self.apart(a, b) * (self.num + self.den) <= (na + nb) * (self.den - self.num)
-        return sizes & apart
+        return self.sizes_fit(a, b) & self.within(a, b, self.apart(a, b))
+
+    def sizes_fit(self, a: str, b: str) -> Column:
+        na, nb = F.col(f"{a}_n").cast("long"), F.col(f"{b}_n").cast("long")
+        return (na * self.den >= nb * self.num) & (nb * self.den >= na * self.num)
+
+    def within(self, a: str, b: str, apart: Column) -> Column:
+        """Whether sets that differ in no fewer members may be similar enough."""
+        both = F.col(f"{a}_n").cast("long") + F.col(f"{b}_n").cast("long")
+        return apart * (self.num + self.den) <= both * (self.den - self.num)
 
     def apart(self, a: str, b: str) -> Column:
         """Bits in which the sketches differ: no more than the members that do."""
@@ -299,44 +305,58 @@ class _Join:
             heads = heads.unionByName(self.sets_of(ids.join(more, "unit"), REACH))
             moved = self.reordered(heads, crowds, known)
             # too little is left of the heads: the whole sets are needed
-            short = moved.filter("free < size(prefix) AND size(members) < n").select("unit")
+            short = moved.filter("short").select("unit")
             whole = self.sets_of(ids.join(short, "unit"))
             moved = moved.join(short, "unit", "left_anti").unionByName(
                 self.reordered(whole, crowds, known)
             )
-            moved = moved.select("unit", F.slice("ordered", 1, F.size("prefix")).alias("_moved"))
-            known = materialize(
-                known.join(moved, "unit", "left")
-                .withColumn("prefix", F.coalesce("_moved", "prefix")).drop("_moved"),
-                "known",
-            )
+            known = known.join(moved.drop("short"), "unit", "left").withColumn(
+                "prefix", F.coalesce("moved", "prefix")
+            ).drop("moved")
+            known = materialize(known, "known")
             plain = known.select("unit", "comp", F.explode("prefix").alias("member"))
         mixed = (
             plain.groupBy("member").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
             .filter("low != high").select("member")
         )
+        # slim rows, as each posting carries them: half the sketch, folded, and the
+        # component as a hash
+        folded = [F.col("sketch")[i].bitwiseXOR(F.col("sketch")[i + LONGS // 2]) for i in range(LONGS // 2)]
+        slim = known.select(
+            "unit",
+            F.xxhash64("comp").alias("comp"),
+            F.col("n").cast("int").alias("n"),
+            *[bits.alias(f"s{i}") for i, bits in enumerate(folded)],
+        )
         open_units = materialize(
-            plain.select("unit", "member").join(mixed, "member")
-            .join(known.select("unit", "comp", "n", "sketch"), "unit"),
-            "open",
+            plain.select("unit", "member").join(mixed, "member").join(slim, "unit"), "open"
         )
         a, b = _renamed(open_units, "a"), _renamed(open_units, "b")
+        differ = reduce(
+            add,
+            [F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(LONGS // 2)],
+        )
         same = (F.col("a_member") == F.col("b_member")) & (F.col("a_comp") < F.col("b_comp"))
-        return a.join(b, same & self.may_link("a", "b")).select(
+        return a.join(b, same & self.sizes_fit("a", "b") & self.within("a", "b", differ)).select(
             F.col("a_unit").alias("a"), F.col("b_unit").alias("b")
         )
 
     def reordered(self, lists: DataFrame, crowds: DataFrame, known: DataFrame) -> DataFrame:
-        """unit, n, prefix, members, ordered (crowded members last) and free (how many are not)."""
+        """unit, moved (the prefix with crowded members last) and short: whether the
+        list is only a part of the set and lacks others for it."""
         last = (
             lists.select("unit", F.explode("members").alias("member")).join(few(crowds), "member")
             .groupBy("unit").agg(F.collect_list("member").alias("_crowded"))
         )
         free = F.array_except("members", "_crowded")
+        ordered = F.concat(free, F.array_intersect("members", "_crowded"))
+        size = F.size("prefix")
+        joined = lists.join(last, "unit").join(known.select("unit", "n", "prefix"), "unit")
         return materialize(
-            lists.join(last, "unit").join(known.select("unit", "n", "prefix"), "unit").select(
-                "unit", "n", "prefix", "members", F.size(free).alias("free"),
-                F.concat(free, F.array_intersect("members", "_crowded")).alias("ordered"),
+            joined.select(
+                "unit",
+                F.slice(ordered, 1, size).alias("moved"),
+                ((F.size(free) < size) & (F.size("members") < F.col("n"))).alias("short"),
             ),
             "reordered",
         )
