@@ -35,7 +35,7 @@ THRESHOLD = 0.2
 # labelled rows that the classifier is fitted on, at most, by hash
 SAMPLE = 12_000
 GRAM = 3
-BINS = 1 << 15
+BINS = 1 << 16
 # the shares of single n-grams are small numbers
 SCALE = 100.0
 
