@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import duckdb
 import pytest
@@ -128,6 +129,47 @@ def test_many_copies_keep_one(docs_of):
     assert all(r.removed_lines >= 20 for n, r in got.items() if n)
 
 
+def test_passages_go_whole(docs_of):
+    """Whatever stands around them, and single lines if they are long."""
+    a, b, c = "one two", "three", "four five"
+    long = " ".join(f"w{n}" for n in range(50))
+    texts = [
+        "\n".join(["p", a, b, "", c, "q"]),
+        "\n".join(["r", a, b, "", c, "s"]),
+        "\n".join(["t", a, b]),
+        "\n".join(["u", c, long]),
+        "\n".join([long, "v", a]),
+        "\n".join([long.replace(" w49", ""), "x"]),
+        "\n".join([long.replace(" w49", ""), "y"]),
+        "x\nx\nx",
+        None,
+        "",
+    ]
+    rows = line_chunks.without_repeats(docs_of(texts), length_col="n_chars").collect()
+    got = {r.doc_id: r.text for r in rows}
+    assert got == {
+        **dict(enumerate(texts)), 1: "r\ns", 2: "t", 4: f"v\n{a}", 7: "x",
+    }
+
+
+def test_passages_of_documents_go_whole(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    seen, want = set(), {}
+    for r in sorted(docs.filter("text IS NOT NULL").collect(), key=lambda r: r.doc_id):
+        lines, gone = r.text.split("\n"), set()
+        filled = [n for n, line in enumerate(lines) if line.strip(" \t\n\x0b\x0c\r")]
+        spans = [*zip(filled, filled[1:])]
+        spans += [(n, n) for n in filled if len(re.findall(r"[^\x20\x09-\x0D]+", lines[n])) >= 50]
+        for start, stop in spans:
+            body = "\n".join(lines[start : stop + 1])
+            if body in seen:
+                gone.update(range(start, stop + 1))
+            seen.add(body)
+        want[r.doc_id] = "\n".join(line for n, line in enumerate(lines) if n not in gone)
+    got = {r.doc_id: r.text for r in line_chunks.without_repeats(docs).collect()}
+    assert want.items() <= got.items()
+
+
 # --- hosts
 
 
