@@ -59,6 +59,22 @@ def test_groups(stages):
     assert sorted(texts_of(stages[3])) == sorted({c for _, _, c in brute(rows)})
 
 
+def test_groups_at_the_values_of_the_stage(spark, sf_dir, docs_of):
+    """Edits that 5-word shingles at 0.8 take for copies and 3-word ones at 0.9 do not."""
+    base = [f"word{n}" for n in range(500)]
+    block = base[:240] + [f"new{n}" for n in range(36)] + base[276:]
+    spread = [f"edit{n}" if n % 50 == 25 else w for n, w in enumerate(base)]
+    texts = [base, block, spread, base[:440], base[:390], base[100:]]
+    rows = [(n, " ".join(t)) for n, t in enumerate(texts)]
+    docs = docs_of([t for _, t in rows]).unionByName(
+        spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("doc_id", F.col("doc_id") + 100)
+    )
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = sorted({c for _, _, c in brute(rows, 5, 80, 100)})
+    assert want != sorted({c for _, _, c in brute(rows)})
+    assert sorted(texts_of(corpus_pipeline.one_of_each_group(spark, docs, sf_dir))) == want
+
+
 def test_mix_and_tokens(stages):
     sizes = {r.doc_id: r for r in mixing.mix(stages[3]).collect()}
     taken = {r.doc_id: r["count"] for r in stages[4].groupBy("doc_id").count().collect()}
