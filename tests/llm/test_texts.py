@@ -109,6 +109,30 @@ def test_block_tables_find_all(spark):
             assert near == sum(n for d, n in apart if d <= radius)
 
 
+def test_near_copies_are_named(spark, docs_of):
+    """Edited copies further apart than 3 bits, by all pairs."""
+    draw = random.Random(12)
+    words = [f"{draw.getrandbits(40):x}"[: draw.randint(2, 9)] for _ in range(3000)]
+    texts = []
+    for n in range(6):
+        base = words[400 * n : 400 * n + 300]
+        for k in range(8):
+            texts.append(" ".join(draw.choice(words) if draw.random() < 0.004 * k else w for w in base))
+    ids = [n if n % 8 else 100 * (n // 8) for n in range(len(texts))]
+    ids = [i + 1000 if n % 8 else i for n, i in enumerate(ids)]
+    prints = {i: fingerprint(t) for i, t in zip(ids, texts)}
+    rows = simhash.edits_and_neighbours(docs_of(texts, ids=ids)).collect()
+    far = 0
+    for r in rows:
+        apart = sorted(
+            ((int(prints[r.doc_id], 16) ^ int(p, 16)).bit_count(), i) for i, p in prints.items()
+        )
+        want = [x for x in apart if x[0] <= simhash.COPY_RADIUS]
+        assert r.near_docs == (want if r.doc_id % 100 == 0 else None)
+        far += r.doc_id % 100 == 0 and sum(d > 3 for d, _ in want)
+    assert far > 10
+
+
 # --- languages
 
 
