@@ -163,6 +163,16 @@ def test_language_edges(docs_of):
     assert language.identify(docs.limit(0), model).collect() == []
 
 
+def test_copies_are_learnt_once(docs_of):
+    texts = ["der hund läuft", "die straße ist lang", "où est la gare", "la bibliothèque"]
+    langs = ["de", "de", "fr", "fr"]
+    once = language.learn(docs_of(texts, langs=langs), sample=2)
+    crowd = docs_of(texts + [texts[0]] * 300 + [texts[2]] * 200, langs=langs + ["de"] * 300 + ["fr"] * 200)
+    often = language.learn(crowd, sample=2)
+    assert once.masks.any() and (once.masks == often.masks).all()
+    assert [r.lang_pred for r in language.identify(crowd.filter("doc_id < 4"), often).collect()] == langs
+
+
 def test_more_languages_than_a_byte(docs_of):
     texts, langs = [], []
     for n in range(11):

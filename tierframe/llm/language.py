@@ -21,7 +21,7 @@ from tierframe.llm.text import chunks, flat_points
 from tierframe.sources.staging import materialize
 
 ORDERS = (1, 2, 3, 4)
-# documents per language that are learnt from, about, by hash of the text
+# different texts per language that are learnt from, about, by hash of the text
 SAMPLE = 1500
 # a language has an n-gram if this share of its documents has it, and at least
 # this part of the share in the language where it is most common
@@ -127,8 +127,8 @@ def learn(
 ) -> LanguageModel | None:
     """Filter from texts of known language; null texts and languages are left out.
 
-    About ``sample`` documents per language are read, chosen by a hash of the
-    text; their n-grams are counted over whole texts.  What comes to the driver is
+    About ``sample`` different texts per language are read, chosen by a hash of
+    the text, once each however many copies there are; their n-grams are counted over whole texts.  What comes to the driver is
     one row per language and one per filled slot, at most SLOTS.  None if there
     is nothing to learn from.
     """
@@ -136,14 +136,17 @@ def learn(
         "text IS NOT NULL AND lang IS NOT NULL"
     )
     # the table of languages is as long as the list of answers of the model
-    sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
+    place = F.xxhash64("text")
+    texts = known.select("lang", place.alias("place")).distinct()
+    sizes = {r.lang: r["count"] for r in texts.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
         return None
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / (1 << 20)
+    place = F.pmod(place, F.lit(1 << 20)) / (1 << 20)
     share = F.create_map(*[F.lit(v) for s in languages for v in (s, min(1.0, sample / sizes[s]))])
     number = F.create_map(*[F.lit(v) for n, s in enumerate(languages) for v in (s, n)])
-    chosen = known.filter(place < share[F.col("lang")]).select(
+    # copies are drawn together, so they may as well go after the draw
+    chosen = known.filter(place < share[F.col("lang")]).distinct().select(
         number[F.col("lang")].alias("lang"), "text"
     )
 
