@@ -167,12 +167,16 @@ def drift_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # trained models: no SQL counterpart
 
-TREES = BoostedTrees(iterations=5, depth=4)
+TREES = BoostedTrees()
+
+
+def _features(table: DataFrame) -> list[str]:
+    return [c for c in table.columns if c not in ("jet_id", "event_id", "label", "split")]
 
 
 def _jet_training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
     table = jet_features(V.jets(spark, sf_dir))
-    features = [c for c in table.columns if c not in ("jet_id", "event_id", "label", "split")]
+    features = _features(table)
     folded = FD.group_folds(table, "event_id").withColumn(
         "class", label_to_class(F.col("label"))
     )
@@ -207,7 +211,7 @@ def oof_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = _wide_with_truth(spark, sf_dir)
     scaled = StandardScale.fit(wide, MATRIX).apply(wide)
     rows = FD.group_folds(assemble(scaled, MATRIX, ["id", "truth"]), "id")
-    result = train_folds(rows, perceptron(len(MATRIX), iterations=50), "id", "truth")
+    result = train_folds(rows, perceptron(len(MATRIX)), "id", "truth")
     return result.oof.select("id", "truth", "fold", *probability_columns())
 
 
@@ -224,20 +228,15 @@ def stack_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drift_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = jet_features(V.jets(spark, sf_dir))
     train, test = (table.filter(F.col("split") == s) for s in ("train", "test"))
-    both = stack_targets(train, test, ["jet_id", *DRIFT_FEATURES])
-    fitted = fit_drift_model(
-        assemble(both, DRIFT_FEATURES, ["jet_id", "target"]),
-        DRIFT_FEATURES,
-        "jet_id",
-        iterations=10,
-    )
+    features = _features(table)
+    both = stack_targets(train, test, ["jet_id", *features])
+    fitted = fit_drift_model(assemble(both, features, ["jet_id", "target"]), features, "jet_id")
     return fitted.importance.withColumn("auc", F.lit(fitted.auc))
 
 
 def search_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _, _ = _jet_training(spark, sf_dir)
-    bounds = {"learning_rate": (0.08, 0.2), "depth": (3, 5), "row_share": (0.4, 0.6)}
-    return search(train, "jet_id", "class", BoostedTrees(iterations=3), 2, bounds)
+    return search(train, "jet_id", "class")
 
 
 QUERIES = {
