@@ -136,8 +136,9 @@ def near_pairs(stored: DataFrame, queries: DataFrame, radius: int) -> DataFrame:
             for t in used
         ]
     )
+    # not broadcast: the size of the queries is guessed without their flips
     return (
-        left.join(right, "led")
+        left.join(right.hint("merge"), "led")
         .filter((distance(q, s) <= radius) & (first == F.col("t")))
         .select("fp", "near_fp", distance(q, s).cast("int").alias("apart"))
     )
