@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tierframe.llm import (
     byte_bpe,
+    decontaminate,
+    hard_negatives,
     host_reputation,
     language,
     line_chunks,
@@ -17,6 +19,7 @@ from tierframe.llm import (
     quality,
     simhash,
     token_count,
+    whitening,
 )
 
 PIECES = "piece_bpe_32k.model"
@@ -89,6 +92,33 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTES))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # noise of the contract: every seventh label is off by one
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(
+        _table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label
+    )
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), columns=["doc_id"]
+    )
+    n_hit = decontaminate.n_hit(F.col("spans"))
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_simhash": op2_simhash,
@@ -100,6 +130,9 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_token_counts": op9_token_counts,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_decontaminate": op12_decontaminate,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = {
@@ -236,5 +269,63 @@ SELECT doc_id, size, source_size, target,
        CAST(size * (epochs + CASE WHEN rest > 0 AND ahead + size / 2 <= rest THEN 1 ELSE 0 END)
             AS BIGINT) AS taken
 FROM x
+""",
+    "op11_hard_negatives": """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+           CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER w AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 10
+""",
+    "op12_decontaminate": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents
+), b AS (
+    SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+           coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM benchmark
+), iw AS (
+    SELECT item, least(len(w), 10) AS k,
+           unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2),
+               lambda i: array_to_string(w[i : i + least(len(w), 10) - 1], ' '))) AS gram
+    FROM b WHERE len(w) > 0
+), dw AS (
+    SELECT r, k, unnest(range(1, len(w) - k + 2)) AS i,
+           unnest(list_transform(range(1, len(w) - k + 2),
+               lambda i: array_to_string(w[i : i + k - 1], ' '))) AS gram
+    FROM d, (SELECT DISTINCT k FROM iw) WHERE len(w) >= k
+), hit AS (
+    SELECT r, dw.i, dw.k, iw.item FROM dw JOIN iw ON dw.k = iw.k AND dw.gram = iw.gram
+), words AS (
+    SELECT r, count(DISTINCT p) AS n_hit
+    FROM (SELECT r, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT r, i, k FROM hit)) GROUP BY r
+), found AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN found USING (r)
 """,
 }
