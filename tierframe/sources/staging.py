@@ -39,13 +39,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     The shuffle files behind the table go when it is written; else those of a
     job of many steps pile up until the driver happens to collect its garbage.
+    The setting for it is put on once and stays, as writers may overlap.  The
+    table itself stays until ``discard``, or as long as the folder does.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
-    before = spark.conf.get(CLEAN_UP, "false")
-    spark.conf.set(CLEAN_UP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    if spark.conf.get(CLEAN_UP, "false") != "true":
+        spark.conf.set(CLEAN_UP, "true")
+    df.write.parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_path = path
+    return staged
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of staged tables that nothing is going to read any more.
+
+    Call it when whatever was made from them is written; a table that did not come
+    straight from ``materialize`` is left alone.
+    """
+    for table in tables:
+        path = getattr(table, "_staged_path", None)
+        if path:
+            jvm, session = table.sparkSession._jvm, table.sparkSession._jsparkSession
+            # the folder around it is this table's alone
+            folder = jvm.org.apache.hadoop.fs.Path(path).getParent()
+            folder.getFileSystem(session.sessionState().newHadoopConf()).delete(folder, True)
+            table._staged_path = None
