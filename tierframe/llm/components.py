@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierframe.sources.staging import materialize
+from tierframe.sources.staging import discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,23 +20,26 @@ def components(edges: DataFrame) -> DataFrame:
     left = materialize(edges.filter("a != b").select("a", "b").distinct(), "edges")
     ends = F.explode(F.array("a", "b")).alias("node")
     labels = left.select(ends).distinct().withColumn("root", F.col("node"))
-    while left.count():
+    labels = materialize(labels, "labels")
+    while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         place = F.struct(F.xxhash64("b").alias("hash"), F.col("b").alias("to"))
         own = F.struct(F.xxhash64("a").alias("hash"), F.col("a").alias("to"))
-        moves = both.groupBy("a").agg(F.min(place).alias("_least")).select(
+        first = both.groupBy("a").agg(F.min(place).alias("_least")).select(
             F.col("a").alias("node"), F.least("_least", own)["to"].alias("to")
         )
-        moves = materialize(moves, "moves")
-        onward = moves.select(F.col("node").alias("to"), F.col("to").alias("last"))
-        moves = materialize(moves.join(onward, "to").select("node", F.col("last").alias("to")), "moves")
-        labels = materialize(
-            labels.join(moves.withColumnRenamed("node", "root"), "root", "left").select(
-                "node", F.coalesce("to", "root").alias("root")
-            ),
-            "labels",
+        first = materialize(first, "moves")
+        onward = first.select(F.col("node").alias("to"), F.col("to").alias("last"))
+        moves = materialize(first.join(onward, "to").select("node", F.col("last").alias("to")), "moves")
+        moved = labels.join(moves.withColumnRenamed("node", "root"), "root", "left").select(
+            "node", F.coalesce("to", "root").alias("root")
         )
+        moved = materialize(moved, "labels")
+        rest = left
         for end in ("a", "b"):
-            left = left.join(moves.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("to", end)
-        left = materialize(left.filter("a != b").select("a", "b").distinct(), "edges")
+            rest = rest.join(moves.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("to", end)
+        rest = materialize(rest.filter("a != b").select("a", "b").distinct(), "edges")
+        discard(first, moves, labels, left)
+        labels, left = moved, rest
+    discard(left)
     return labels

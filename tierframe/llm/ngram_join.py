@@ -1,18 +1,16 @@
 """Jaccard join on word n-grams, by a grouped prefix filter.
 
-The n-grams of a document are a set of 64-bit hashes in ascending order.  Two
-sets above the threshold share one of their first few members, the prefix.
-Documents of equal sets are one unit, units of equal prefix and size one group;
-groups that share a prefix member are paired, the pairs expanded to their units
-and verified on the whole sets.
-
-Only connections are asked for, so not every pair of a crowd is looked at: each
-group is first checked against a few pivots of the members it shares, what is
-linked becomes one, and prefix members all of whose documents are one already are
-done.  What is left over is joined exactly.  Members that many
-unconnected documents share, such as those of a common passage, go to the end of
-the order first, which keeps them out of the prefixes of all documents that have
-enough others.
+The n-grams of a document are a set of 64-bit hashes in a fixed order.  Two sets
+above the threshold share one of their first few members, the prefix.  Documents of
+equal sets are one unit, units of equal prefix and size one group; groups that share
+a prefix member are paired behind tests of their sizes, of the member's positions
+and of parity sketches, the pairs expanded to their units and verified on whole sets.
+
+Members that many groups share, such as those of a common passage, come last in the
+order: that keeps them out of the prefixes of all documents with enough others.
+Where near copies leave many groups at one member all the same, a few pivots of the
+member are verified first and what is linked becomes one, since only connections are
+asked for; the exact join then pairs only what is still apart.
 """
 
 from __future__ import annotations
@@ -29,22 +27,22 @@ from pyspark.sql import functions as F
 
 from tierframe.llm.components import components
 from tierframe.llm.text import fresh, ragged, row_key
-from tierframe.sources.staging import materialize
+from tierframe.sources.staging import discard, materialize
 
 N = 3
 # Jaccard similarity of at least NUM / DEN
 NUM, DEN = 90, 100
-# pivots that each group is checked against before the exact join
+# a member that more units or groups share than this is a crowd
+CROWD = 32
+# lengths of the prefix in which crowded members are looked for
+REACH = 2
+# pivots of a crowded member that its groups are verified against
 PIVOTS = 3
-# a member shared by more unconnected components than this goes to the end
-CROWD = 64
-# lengths of the prefix in which crowds are looked for
-REACH = 3
-# members, of eight bytes each, that are broadcast at most
+# crowded members, of eight bytes each, that come last in the order: the most
+# frequent ones.  Any order is right; this bounds what is broadcast
 FEW = 200_000
-# bits of the parity sketch, which bounds the difference of two sets from below
-SKETCH = 512
-LONGS = SKETCH // 64
+# bits of the parity sketch of a unit, and of that of a group
+SKETCH, FOLDED = 512, 256
 
 
 def shingles(text: bytes, n: int = N) -> np.ndarray:
@@ -72,301 +70,343 @@ def prefix_length(n: int, num: int = NUM, den: int = DEN) -> int:
     return n - -(-n * num // den) + 1
 
 
+def in_order(members: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Ascending members with those of ``last`` (ascending too) behind all others."""
+    if not len(last) or not len(members):
+        return members
+    at = np.searchsorted(last, members)
+    crowded = last[np.minimum(at, len(last) - 1)] == members
+    return np.concatenate([members[~crowded], members[crowded]]) if crowded.any() else members
+
+
+def parities(members: np.ndarray, bits: int) -> np.ndarray:
+    """Longs whose bits are the parities of the members' buckets.
+
+    Sets that differ in d members differ in d bits at most.  ``bits`` is a power of
+    two; half as many come from the exclusive or of the two halves.
+    """
+    bucket = (members * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.int64) % bits
+    odd = np.bincount(bucket, minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _digest(values: np.ndarray) -> bytes:
     return xxhash.xxh128_digest(values.tobytes())
 
 
-def signatures(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def _lists(arrays: list[np.ndarray], of: pa.DataType) -> pa.Array:
+    flat = np.concatenate(arrays) if arrays else np.empty(0, np.int64)
+    return ragged(flat.view(np.int64), np.array([len(a) for a in arrays], np.int64), of)
+
+
+def heads(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """unit and the first members of each set, REACH prefixes of them."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s for t in batch.column("text").to_pylist() if len(s := shingles(t, n))]
+            first = [s[: REACH * prefix_length(len(s), num, den)] for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(map(_digest, sets), pa.binary()), _lists(first, pa.int64())], ["unit", "heads"]
+            )
+
+    return docs.select("text").mapInArrow(listed, "unit binary, heads array<long>")
+
+
+def crowded_members(docs: DataFrame, n: int, num: int, den: int) -> np.ndarray:
+    """Members that more than CROWD units have among their heads, the FEW most frequent ones."""
+    units = heads(docs, n, num, den).groupBy("unit").agg(F.first("heads").alias("heads"))
+    counts = units.select(F.explode("heads").alias("member")).groupBy("member").count()
+    most = counts.filter(F.col("count") > CROWD).orderBy(F.desc("count"), "member").limit(FEW)
+    rows = most.select("member").toPandas()["member"].to_numpy(np.int64)
+    return np.sort(rows.view(np.uint64))
+
+
+def signatures(docs: DataFrame, last: np.ndarray, n: int, num: int, den: int) -> DataFrame:
     """Per row: doc_id, unit (digest of the set), n, mates (digest of prefix and size),
-    prefix and sketch.  Rows without n-grams have n 0 and no digests."""
+    prefix, sketch (SKETCH bits) and wide (as many bits as members or more, to a power
+    of two).  Rows without n-grams have n 0 and no digests."""
+    cast = docs.sparkSession.sparkContext.broadcast(last)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units, sizes, mates, prefixes, sketches = [], [], [], [], []
+            units, sizes, mates, prefixes, sketches, wides = [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingles(text, n)
                 size = len(found)
-                head = found[: prefix_length(size, num, den) if size else 0]
-                parity = np.bincount(
-                    (found * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(55)).astype(np.int64) % SKETCH,
-                    minlength=SKETCH,
-                ) & 1
+                head = in_order(found, cast.value)[: prefix_length(size, num, den) if size else 0]
+                wide = parities(found, max(SKETCH, 1 << size.bit_length()))
                 units.append(_digest(found) if size else None)
                 mates.append(_digest(np.append(head, np.uint64(size))) if size else None)
                 sizes.append(size)
                 prefixes.append(head)
-                sketches.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
-            lengths = np.array([len(p) for p in prefixes], np.int64)
-            flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.empty(0, np.int64)
-            sketch = np.concatenate(sketches) if sketches else np.empty(0, np.int64)
+                wides.append(wide)
+                sketches.append(np.bitwise_xor.reduce(wide.reshape(-1, SKETCH // 64), axis=0))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(units, pa.binary()),
-                    pa.array(sizes, pa.int64()),
+                    pa.array(sizes, pa.int32()),
                     pa.array(mates, pa.binary()),
-                    ragged(flat, lengths, pa.int64()),
-                    ragged(sketch, np.full(len(sizes), LONGS), pa.int64()),
+                    _lists(prefixes, pa.int64()),
+                    _lists(sketches, pa.int64()),
+                    _lists(wides, pa.int64()),
                 ],
-                ["doc_id", "unit", "n", "mates", "prefix", "sketch"],
+                ["doc_id", "unit", "n", "mates", "prefix", "sketch", "wide"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(
-        signed,
-        f"doc_id {kind}, unit binary, n long, mates binary, prefix array<long>, sketch array<long>",
-    )
+    lists = "prefix array<long>, sketch array<long>, wide array<long>"
+    return docs.mapInArrow(signed, f"doc_id {kind}, unit binary, n int, mates binary, {lists}")
 
 
-def member_lists(docs: DataFrame, n: int, reach: int | None, num: int, den: int) -> DataFrame:
-    """unit and members: the set in ascending order of its unsigned hashes.
-
-    The whole of it, or so many of the first ones as ``reach`` prefixes have.
-    """
+def member_lists(docs: DataFrame, n: int) -> DataFrame:
+    """unit and members: the whole set of each row."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(text, n) for text in batch.column("text").to_pylist()]
-            units = [_digest(s) if len(s) else None for s in sets]
-            if reach:
-                sets = [s[: reach * (prefix_length(len(s), num, den) + 1)] for s in sets]
-            flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
+            sets = [s for t in batch.column("text").to_pylist() if len(s := shingles(t, n))]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(units, pa.binary()),
-                    ragged(flat, np.array([len(s) for s in sets], np.int64), pa.int64()),
-                ],
-                ["unit", "members"],
+                [pa.array(map(_digest, sets), pa.binary()), _lists(sets, pa.int64())], ["unit", "members"]
             )
 
     return docs.select("text").mapInArrow(listed, "unit binary, members array<long>")
 
 
-def _renamed(df: DataFrame, side: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
+def few(rows: DataFrame) -> DataFrame:
+    """Broadcast if there are at most FEW; a larger table is shuffled."""
+    return F.broadcast(rows) if rows.limit(FEW + 1).count() <= FEW else rows
 
 
-def few(members: DataFrame) -> DataFrame:
-    """Broadcast if there are at most FEW; a larger table is shuffled to its rows."""
-    return F.broadcast(members) if members.limit(FEW + 1).count() <= FEW else members
+def _differing(a: Column, b: Column, longs: int) -> Column:
+    return reduce(add, [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(longs)])
 
 
-class _Join:
-    def __init__(self, docs: DataFrame, n: int, num: int, den: int):
-        self.docs, self.n, self.num, self.den = docs, n, num, den
+def _differing_wide(a: Column, b: Column) -> Column:
+    """Of sketches of which one may be twice as long."""
 
-    def may_link(self, a: str, b: str) -> Column:
-        """By size and sketch, for pairs with columns a_n, a_sketch, b_n, b_sketch."""
-        return self.sizes_fit(a, b) & self.within(a, b, self.apart(a, b))
+    def half(x: Column, other: Column) -> Column:
+        n = F.size(other)
+        xor = lambda p, q: p.bitwiseXOR(q)
+        folded = F.zip_with(F.slice(x, F.lit(1), n), F.slice(x, n + 1, n), xor)
+        return F.when(F.size(x) > n, folded).otherwise(x)
 
-    def sizes_fit(self, a: str, b: str) -> Column:
-        na, nb = F.col(f"{a}_n").cast("long"), F.col(f"{b}_n").cast("long")
-        return (na * self.den >= nb * self.num) & (nb * self.den >= na * self.num)
+    bits = F.zip_with(half(a, b), half(b, a), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(bits, F.lit(0), lambda total, k: total + k)
 
-    def within(self, a: str, b: str, apart: Column) -> Column:
-        """Whether sets that differ in no fewer members may be similar enough."""
-        both = F.col(f"{a}_n").cast("long") + F.col(f"{b}_n").cast("long")
-        return apart * (self.num + self.den) <= both * (self.den - self.num)
 
-    def apart(self, a: str, b: str) -> Column:
-        """Bits in which the sketches differ: no more than the members that do."""
-        x, y = F.col(f"{a}_sketch"), F.col(f"{b}_sketch")
-        return reduce(add, [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(LONGS)])
+class _Join:
+    def __init__(self, docs: DataFrame, n: int, num: int, den: int):
+        self.docs, self.n, self.num, self.den = docs, n, num, den
 
-    def linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs (a, b) of units whose whole sets are similar enough."""
-        first = sets.select(F.col("unit").alias("a"), F.col("members").alias("_x"))
-        second = sets.select(F.col("unit").alias("b"), F.col("members").alias("_y"))
-        both = F.size(F.array_intersect("_x", "_y"))
-        either = F.size("_x") + F.size("_y") - both
-        return (
-            pairs.join(first, "a").join(second, "b")
-            .filter(both * self.den >= either * self.num).select("a", "b")
-        )
+    def sizes_fit(self, a: Column, b: Column) -> Column:
+        a, b = a.cast("long"), b.cast("long")
+        return (a * self.den >= b * self.num) & (b * self.den >= a * self.num)
 
-    def relabelled(self, labels: DataFrame, links: DataFrame) -> DataFrame:
-        """labels (unit, comp) after the links; linked components become one."""
-        ends = links
-        for end in ("a", "b"):
-            own = labels.select(F.col("unit").alias(end), F.col("comp").alias(f"_{end}"))
-            ends = ends.join(own, end).drop(end).withColumnRenamed(f"_{end}", end)
-        roots = components(ends).withColumnRenamed("node", "comp")
-        return materialize(
-            labels.join(roots, "comp", "left").select("unit", F.coalesce("root", "comp").alias("comp")),
-            "labels",
-        )
+    def within(self, a: Column, b: Column, apart: Column) -> Column:
+        """Whether sets of these sizes that differ in no fewer members may be similar enough."""
+        return apart * (self.num + self.den) <= (a.cast("long") + b.cast("long")) * (self.den - self.num)
+
+    def placed(self, a: Column, b: Column, i: Column, j: Column) -> Column:
+        """Whether sets with a common member at places i and j may be similar enough."""
+        most = F.least(i, j) + F.least(a - i, b - j)
+        return most.cast("long") * (self.num + self.den) >= (a.cast("long") + b.cast("long")) * self.num
 
     def run(self) -> DataFrame:
         """doc_id, n, unit, label of every row."""
-        signed = materialize(signatures(self.docs, self.n, self.num, self.den), "signatures")
+        last = crowded_members(self.docs, self.n, self.num, self.den)
+        signed = materialize(signatures(self.docs, last, self.n, self.num, self.den), "signatures")
         units = signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy("unit").agg(
             F.min("doc_id").alias("first"),
-            *[F.first(c).alias(c) for c in ("n", "mates", "prefix", "sketch")],
+            *[F.first(c).alias(c) for c in ("n", "mates", "prefix", "sketch", "wide")],
         )
         units = materialize(units, "units")
         leads = units.groupBy("mates").agg(
-            F.min(F.struct("first", "unit")).alias("_lead"), F.count(F.lit(1)).alias("_units")
-        ).select("mates", F.col("_lead.unit").alias("lead"), "_units")
-        grouped = materialize(units.join(leads, "mates").drop("mates"), "groups")
+            F.min(F.struct("first", "unit"))["unit"].alias("lead"), F.count(F.lit(1)).alias("_units")
+        )
+        slim = units.select("unit", "mates").join(leads, "mates").select("unit", "lead", "_units")
+        slim = materialize(slim, "leads")
 
         # groups that share a member of their prefixes with another group
-        of_groups = grouped.filter("unit = lead").select(F.explode("prefix").alias("member"), "lead")
-        shared = of_groups.groupBy("member").count().filter("count > 1").select("member")
+        prefixes = units.select("unit", "prefix").join(slim.filter("unit = lead").select("unit"), "unit")
+        of_groups = prefixes.select(F.col("unit").alias("lead"), F.posexplode("prefix").alias("pos", "member"))
+        shared = of_groups.groupBy("member").agg(F.count(F.lit(1)).alias("_groups")).filter("_groups > 1")
         postings = materialize(of_groups.join(shared, "member"), "postings")
         live = postings.select("lead").distinct().withColumn("_live", F.lit(True))
-        active = materialize(
-            grouped.join(live, "lead", "left").filter("_live OR _units > 1").drop("_live"), "active"
-        )
-        labels = self.connected(active, postings)
+        wanted = slim.join(live, "lead", "left").filter("_live OR _units > 1").select("unit", "lead")
+        facts = units.select("unit", "first", "n", "sketch", "wide").join(wanted, "unit")
+        active = materialize(facts, "active")
+        discard(units, slim)
+
+        labels = materialize(active.select("unit", F.col("unit").alias("comp")), "labels")
+        labels = self.settled(labels, active, self.proposals(active, postings), (1, None))
+        labels = self.settled(labels, active, self.rest(active, postings, labels), (1, 8, None))
+        discard(active, postings)
         return signed.select("doc_id", "n", "unit").join(
             labels.select("unit", F.col("comp").alias("label")), "unit", "left"
         )
 
-    def sets_of(self, units: DataFrame, reach: int | None = None) -> DataFrame:
-        """Members (unit, members) of some units (unit, first), from their texts.
-
-        Sets are made where they are looked at: most documents share a member
-        with another one, few of them come near it.
+    def near(self, pairs: DataFrame, active: DataFrame) -> DataFrame:
+        """Of pairs (a, b) of units those that may be linked by size and sketches, with
+        apart, the members that they differ in at least."""
+        facts = active.select("unit", "n", "sketch", "wide")
+        a, b = (facts.select(F.col("unit").alias(s), F.struct("n", "sketch", "wide").alias(f"_{s}")) for s in "ab")
+        both = pairs.join(a, "a").join(b, "b")
+        n = F.col("_a.n"), F.col("_b.n")
+        narrow = _differing(F.col("_a.sketch"), F.col("_b.sketch"), SKETCH // 64)
+        close = both.filter(self.sizes_fit(*n) & self.within(*n, narrow))
+        wide = _differing_wide(F.col("_a.wide"), F.col("_b.wide"))
+        return close.withColumn("apart", wide).filter(self.within(*n, F.col("apart"))).select("a", "b", "apart")
+
+    def settled(
+        self, labels: DataFrame, active: DataFrame, pairs: DataFrame, turns: tuple[int | None, ...]
+    ) -> DataFrame:
+        """labels (unit, comp) after the pairs (a, b) that prove similar.
+
+        In each turn so many of the nearest pairs of a unit are verified, in the last
+        one all; pairs that are connected by then need no look.
         """
-        ids = units.select(F.col("first").alias("doc_id")).distinct()
-        near = self.docs.join(ids, "doc_id", "left_semi")
-        made = member_lists(near, self.n, reach, self.num, self.den)
-        # an id that repeats brings other sets along, or the same one again
-        wanted = units.select("unit").distinct()
-        return materialize(made.join(wanted, "unit", "left_semi").dropDuplicates(["unit"]), "sets")
-
-    def connected(self, active: DataFrame, postings: DataFrame) -> DataFrame:
-        facts = active.select("unit", "lead", "first", "n", "sketch")
-        inside = (
-            _renamed(facts.filter("unit != lead"), "a")
-            .join(_renamed(facts.filter("unit = lead"), "b"), F.col("a_lead") == F.col("b_unit"))
-            .filter(self.may_link("a", "b"))
-            .select(F.col("a_unit").alias("a"), F.col("b_unit").alias("b"))
-        )
-        labels = active.select("unit", F.col("unit").alias("comp"))
-        for found in (
-            lambda: inside.unionByName(self.proposals(postings, facts)),
-            lambda: self.rest(materialize(active.join(labels, "unit"), "known")),
-        ):
-            pairs = materialize(found().distinct(), "pairs")
-            ends = pairs.select(F.explode(F.array("a", "b")).alias("unit")).distinct()
-            sets = self.sets_of(ends.join(active.select("unit", "first"), "unit"))
-            links = materialize(self.linked(pairs, sets), "links")
+        left = materialize(self.near(pairs.distinct(), active), "near")
+        for turn in turns:
+            if left.isEmpty():
+                break
+            nearest = Window.partitionBy("a").orderBy("apart", "b")
+            chosen = left.select("a", "b")
+            if turn:
+                chosen = left.withColumn("_turn", F.row_number().over(nearest)).filter(F.col("_turn") <= turn)
+            tried = materialize(chosen.select("a", "b"), "tried")
+            ends = tried.select(F.explode(F.array("a", "b")).alias("unit")).distinct()
+            sets = self.sets_of(active.join(ends, "unit").select("unit", "first"))
+            links = materialize(self.linked(tried, sets), "links")
+            discard(sets)
             if not links.isEmpty():
                 labels = self.relabelled(labels, links)
+            # a pair that was looked at is a link or none
+            rest = left.join(tried, ["a", "b"], "left_anti")
+            for end in ("a", "b"):
+                comps = labels.select(F.col("unit").alias(end), F.col("comp").alias(f"_{end}"))
+                rest = rest.join(comps, end)
+            rest = materialize(rest.filter("_a != _b").select("a", "b", "apart"), "near")
+            discard(left, tried, links)
+            left = rest
+        discard(left)
         return labels
 
-    def proposals(self, postings: DataFrame, facts: DataFrame) -> DataFrame:
-        """For each group the nearest of the pivots of its members, if one may be linked.
+    def sets_of(self, units: DataFrame) -> DataFrame:
+        """Members (unit, members) of some units (unit, first), from their texts."""
+        units = materialize(units, "ends")
+        ids = few(units.select(F.col("first").alias("doc_id")).distinct())
+        made = member_lists(self.docs.join(ids, "doc_id", "left_semi"), self.n)
+        # an id that repeats brings other sets along, or the same one again
+        wanted = made.join(few(units.select("unit").distinct()), "unit", "left_semi")
+        sets = materialize(wanted.dropDuplicates(["unit"]), "sets")
+        discard(units)
+        return sets
 
-        The pivot of a member is the group of the smallest id, and in further
-        turns that of the smallest hash: one pair per posting and turn, and one
-        per group and turn to verify.
-        """
-        heads = facts.filter("unit = lead")
-        ranks = [F.col("first"), *[F.xxhash64(F.lit(turn), "lead") for turn in range(1, PIVOTS)]]
-        ranked = heads.select("lead", *[r.alias(f"_rank{turn}") for turn, r in enumerate(ranks)])
-        pivots = postings.join(ranked, "lead").groupBy("member").agg(
-            *[F.min(F.struct(f"_rank{turn}", "lead"))["lead"].alias(f"_{turn}") for turn in range(PIVOTS)]
-        )
-        turns = F.posexplode(F.array(*[f"_{turn}" for turn in range(PIVOTS)])).alias("turn", "pivot")
-        pairs = (
-            postings.join(pivots, "member").select("lead", turns).filter("lead != pivot").distinct()
-        )
-        own = heads.select("unit", "n", "sketch")
-        a, b = _renamed(own, "a"), _renamed(own, "b")
+    def linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs (a, b) of units whose whole sets are similar enough."""
+        first = sets.select(F.col("unit").alias("a"), F.col("members").alias("_x"))
+        second = sets.select(F.col("unit").alias("b"), F.col("members").alias("_y"))
+        both = F.size(F.array_intersect("_x", "_y")).cast("long")
+        either = F.size("_x") + F.size("_y") - both
         return (
-            pairs.join(a, F.col("lead") == F.col("a_unit")).join(b, F.col("pivot") == F.col("b_unit"))
-            .filter(self.may_link("a", "b"))
-            .groupBy(F.col("lead").alias("a"), "turn")
-            .agg(F.min(F.struct(self.apart("a", "b").alias("_apart"), F.col("pivot")))["pivot"].alias("b"))
-            .select("a", "b")
+            pairs.join(first, "a").join(second, "b")
+            .filter(both * self.den >= either * self.num).select("a", "b")
         )
 
-    def rest(self, known: DataFrame) -> DataFrame:
-        """Every pair of units in different components that may be linked, by prefixes.
+    def relabelled(self, labels: DataFrame, links: DataFrame) -> DataFrame:
+        """labels (unit, comp) after the links; linked components become one."""
+        ends = links
+        for end in ("a", "b"):
+            own = labels.select(F.col("unit").alias(end), F.col("comp").alias(f"_{end}"))
+            ends = ends.join(own, end).drop(end).withColumnRenamed(f"_{end}", end)
+        roots = components(ends)
+        out = labels.join(roots.withColumnRenamed("node", "comp"), "comp", "left").select("unit", F.coalesce("root", "comp").alias("comp"))
+        out = materialize(out, "labels")
+        discard(labels, roots)
+        return out
+
+    def proposals(self, active: DataFrame, postings: DataFrame) -> DataFrame:
+        """Units with the lead of their group, and groups of crowded members with pivots.
 
-        The order is first made so that crowded members come last: any fixed
-        order gives every similar pair a common member in its prefixes.
+        Pivots are the groups of the smallest hashes, so there is a pair per posting
+        and pivot at most.
         """
-        plain = known.select("unit", "comp", F.explode("prefix").alias("member"))
-        crowds = materialize(self.crowded(plain), "crowds")
-        if not crowds.isEmpty():
-            ids = known.select("unit", "first")
-            hit = materialize(plain.join(few(crowds), "member").select("unit").distinct(), "hit")
-            # far enough for what may move up; any choice of members would be right
-            heads = self.sets_of(ids.join(hit, "unit"), REACH)
-            everywhere = heads.join(known.select("unit", "comp"), "unit").select(
-                "unit", "comp", F.explode("members").alias("member")
-            )
-            crowds = materialize(self.crowded(everywhere).unionByName(crowds).distinct(), "crowds")
-            more = plain.join(few(crowds), "member").select("unit").distinct()
-            more = more.join(hit, "unit", "left_anti")
-            heads = heads.unionByName(self.sets_of(ids.join(more, "unit"), REACH))
-            moved = self.reordered(heads, crowds, known)
-            # too little is left of the heads: the whole sets are needed
-            short = moved.filter("short").select("unit")
-            whole = self.sets_of(ids.join(short, "unit"))
-            moved = moved.join(short, "unit", "left_anti").unionByName(
-                self.reordered(whole, crowds, known)
-            )
-            known = known.join(moved.drop("short"), "unit", "left").withColumn(
-                "prefix", F.coalesce("moved", "prefix")
-            ).drop("moved")
-            known = materialize(known, "known")
-            plain = known.select("unit", "comp", F.explode("prefix").alias("member"))
-        mixed = (
-            plain.groupBy("member").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-            .filter("low != high").select("member")
+        inside = active.filter("unit != lead").select(F.col("unit").alias("a"), F.col("lead").alias("b"))
+        crowds = postings.filter(F.col("_groups") > CROWD)
+        pivots = crowds.groupBy("member").agg(
+            F.array(
+                *[F.min(F.struct(F.xxhash64(F.lit(t), "lead"), "lead"))["lead"] for t in range(PIVOTS)]
+            ).alias("_pivots")
         )
-        # slim rows, as each posting carries them: half the sketch, folded, and the
-        # component as a hash
-        folded = [F.col("sketch")[i].bitwiseXOR(F.col("sketch")[i + LONGS // 2]) for i in range(LONGS // 2)]
-        slim = known.select(
-            "unit",
-            F.xxhash64("comp").alias("comp"),
-            F.col("n").cast("int").alias("n"),
-            *[bits.alias(f"s{i}") for i, bits in enumerate(folded)],
+        pairs = crowds.join(pivots, "member").select(
+            F.col("lead").alias("a"), F.explode("_pivots").alias("b")
         )
-        open_units = materialize(
-            plain.select("unit", "member").join(mixed, "member").join(slim, "unit"), "open"
+        return inside.unionByName(pairs.filter("a != b"))
+
+    def rest(self, active: DataFrame, postings: DataFrame, labels: DataFrame) -> DataFrame:
+        """Every pair of units in different components that may be linked, by prefixes."""
+        longs = range(FOLDED // 64)
+        bits = [F.col("sketch")[i].bitwiseXOR(F.col("sketch")[i + FOLDED // 64]) for i in longs]
+        known = active.select("unit", "lead", "n", *[x.alias(f"_{i}") for i, x in enumerate(bits)])
+        # a group has the bits that all of its units have, and those that any has
+        groups = known.join(labels, "unit").groupBy("lead").agg(
+            F.first("n").alias("n"),
+            F.min(F.xxhash64("comp")).alias("low"),
+            F.max(F.xxhash64("comp")).alias("high"),
+            *[F.bit_and(f"_{i}").alias(f"all{i}") for i in longs],
+            *[F.bit_or(f"_{i}").alias(f"any{i}") for i in longs],
         )
-        a, b = _renamed(open_units, "a"), _renamed(open_units, "b")
-        differ = reduce(
+        groups = materialize(groups, "groups")
+        mixed = postings.join(groups.select("lead", "low", "high"), "lead").groupBy("member").agg(
+            F.min("low").alias("_low"), F.max("high").alias("_high")
+        ).filter("_low != _high").select("member")
+        open_ = materialize(
+            postings.drop("_groups").join(mixed, "member").join(groups, "lead"), "open"
+        )
+        one = lambda side, c: F.col(f"{side}.{c}")
+        surely = reduce(
             add,
-            [F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(LONGS // 2)],
+            [
+                F.bit_count(
+                    one(x, f"all{i}").bitwiseAND(F.bitwise_not(one(y, f"any{i}")))
+                )
+                for i in longs
+                for x, y in (("a", "b"), ("b", "a"))
+            ],
         )
-        same = (F.col("a_member") == F.col("b_member")) & (F.col("a_comp") < F.col("b_comp"))
-        return a.join(b, same & self.sizes_fit("a", "b") & self.within("a", "b", differ)).select(
-            F.col("a_unit").alias("a"), F.col("b_unit").alias("b")
+        n = one("a", "n"), one("b", "n")
+        together = (
+            (one("a", "low") == one("a", "high"))
+            & (one("b", "low") == one("b", "high"))
+            & (one("a", "low") == one("b", "low"))
         )
-
-    def reordered(self, lists: DataFrame, crowds: DataFrame, known: DataFrame) -> DataFrame:
-        """unit, moved (the prefix with crowded members last) and short: whether the
-        list is only a part of the set and lacks others for it."""
-        last = (
-            lists.select("unit", F.explode("members").alias("member")).join(few(crowds), "member")
-            .groupBy("unit").agg(F.collect_list("member").alias("_crowded"))
+        met = (
+            (one("a", "member") == one("b", "member"))
+            & (one("a", "lead") < one("b", "lead"))
+            & ~together
+            & self.sizes_fit(*n)
+            & self.placed(*n, one("a", "pos"), one("b", "pos"))
+            & self.within(*n, surely)
         )
-        free = F.array_except("members", "_crowded")
-        ordered = F.concat(free, F.array_intersect("members", "_crowded"))
-        size = F.size("prefix")
-        joined = lists.join(last, "unit").join(known.select("unit", "n", "prefix"), "unit")
-        return materialize(
-            joined.select(
-                "unit",
-                F.slice(ordered, 1, size).alias("moved"),
-                ((F.size(free) < size) & (F.size("members") < F.col("n"))).alias("short"),
-            ),
-            "reordered",
+        pairs = open_.alias("a").join(open_.alias("b"), met).select(
+            one("a", "lead").alias("_a"), one("b", "lead").alias("_b")
         )
-
-    def crowded(self, postings: DataFrame) -> DataFrame:
-        """Members in more than CROWD components, of (comp, member)."""
-        return (
-            postings.select("member", F.xxhash64("comp").alias("comp")).distinct().groupBy("member").count()
-            .filter(F.col("count") > CROWD).select("member")
+        pairs = materialize(pairs.distinct(), "group_pairs")
+        discard(open_)
+        of_units = active.select("unit", "lead").join(labels, "unit")
+        a, b = (
+            of_units.select(F.col("unit").alias(s), F.col("lead").alias(f"_{s}"), F.col("comp").alias(f"_comp_{s}"))
+            for s in "ab"
         )
+        across = pairs.join(a, "_a").join(b, "_b")
+        split = groups.filter("low != high").select(F.col("lead").alias("_a"))
+        inside = a.join(split, "_a", "left_semi").join(b, (F.col("_a") == F.col("_b")) & (F.col("a") < F.col("b")))
+        apart = F.col("_comp_a") != F.col("_comp_b")
+        found = across.filter(apart).select("a", "b").unionByName(inside.filter(apart).select("a", "b"))
+        found = materialize(found, "pairs")
+        discard(groups, pairs)
+        return found
 
 
 def link_documents(
