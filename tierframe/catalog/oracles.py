@@ -313,7 +313,7 @@ def flat_compact(k: int) -> str:
 flat AS (
   SELECT jet_id, {selected(pivoted(COMPACT_SLOTS, k, "p"))}
   FROM ranked WHERE slot < {k} GROUP BY jet_id),
-flat_particle AS (
+flat_particle AS MATERIALIZED (
   SELECT flat.*, {typed(SHARED, "jet_stat.")} FROM flat JOIN jet_stat USING (jet_id))"""
 
 
@@ -327,7 +327,7 @@ def flat_broad(k: int) -> str:
 flat AS (
   SELECT jet_id, count(*) AS kept, {selected(pivoted(BROAD_SLOTS, k, "p"))}
   FROM ranked WHERE slot < {k} GROUP BY jet_id),
-flat_particle AS (
+flat_particle AS MATERIALIZED (
   SELECT flat.* EXCLUDE (kept), {repeated} FROM flat JOIN broad_stat USING (jet_id))"""
 
 
@@ -346,7 +346,7 @@ SELECT number_of_jet_in_this_event, event_id_count,
 FROM wide JOIN event_stat USING (event_id) JOIN event USING (event_id)""",
         flat.strip()
         + f""",
-jet_ranked AS (
+jet_ranked AS MATERIALIZED (
   SELECT jet_feature.*, flat_particle.* EXCLUDE (jet_id), row_number() OVER (
     PARTITION BY event_id ORDER BY abs(jet_px) DESC NULLS LAST, jet_feature.jet_id) - 1 AS slot
   FROM jet_feature JOIN flat_particle ON flat_particle.jet_id = jet_feature.jet_id),
