@@ -37,6 +37,12 @@ def test_stages_keep_the_columns(stages):
     assert stages[-1].columns == ["doc_id", "ids"]
 
 
+def test_no_text_is_empty(stages):
+    for after in stages[1:-1]:
+        assert all(WORD.search(r.text) for r in after.collect())
+    assert all(r.ids for r in stages[-1].collect())
+
+
 def test_quality(spark, sf_dir, stages):
     before, after = texts_of(stages[0]), texts_of(stages[1])
     assert all(not counts_of(r.text)[5] and r == before[k] for k, r in after.items())
@@ -47,7 +53,11 @@ def test_quality(spark, sf_dir, stages):
 
 def test_lines(stages):
     before, after = texts_of(stages[1]), texts_of(stages[2])
-    assert before.keys() == after.keys()
+    # what is missing was given twice, or has its lines elsewhere
+    assert after.keys() <= before.keys() and len(after) > 0.9 * len(before)
+    kept = {line for r in after.values() for line in r.text.split("\n") if line.strip()}
+    for k in before.keys() - after.keys():
+        assert {line for line in before[k].text.split("\n") if line.strip()} <= kept
     for k, r in after.items():
         assert r.n_chars == len(r.text)
         rest = iter(before[k].text.split("\n"))

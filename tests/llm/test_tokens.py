@@ -80,11 +80,16 @@ def test_heap_and_arrays_agree():
 
 def test_words_are_forgotten_when_too_many(monkeypatch):
     monkeypatch.setattr(byte_bpe, "REMEMBERED", 3)
-    model, known = byte_bpe.ByteModel(BYTES), {}
+    model = byte_bpe.ByteModel(BYTES)
+    plain, joined = byte_bpe.Words(model), byte_bpe.Words(model, joined=True)
     library = Tokenizer.from_file(BYTES)
-    for text in ["the cat sat", "on the mat", "the cat"]:
-        assert model.ids([text], known) == [library.encode(text).ids]
-        assert len(known) <= 4 + len(model.added)
+    for text in ["the cat sat", "on the mat", "the cat", "", "the<|endoftext|> cat"]:
+        ids = library.encode(text).ids
+        assert model.ids([text], plain) == [ids]
+        digests = [",".join(map(str, ids)), library.decode(ids, skip_special_tokens=False)]
+        digests = [[hashlib.sha256(d.encode()).hexdigest()] for d in digests]
+        assert model.digests([text], joined) == ([len(ids)], *digests)
+        assert len(plain.ids) <= 5 and len(joined.decimal) == len(joined.bytes) <= 5
 
 
 def test_other_models_are_refused():

@@ -13,7 +13,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import ahocorasick
 import numpy as np
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from tierframe.llm.merging import PairTable, merge_sequence, merge_words
 from tierframe.llm.text import chunks
 
-# stands between words that are guessed together; above any byte
-JOINT = chr(256)
+# stands between words that are guessed together; no UTF-8 text has this byte
+JOINT = b"\xff"
 # words above this length go through the heap one by one: the arrays take as
 # many steps as the longest word has symbols
 LONG_WORD = 48
@@ -95,7 +95,7 @@ class ByteModel:
         self.length = np.array([len(t) for t in plain])
         self.longest = ahocorasick.Automaton()
         for n, token in enumerate(plain):
-            if own[n] == [n]:
+            if own[n] == [n] and token != JOINT:
                 self.longest.add_word(token.decode("latin-1"), n)
         self.longest.make_automaton()
         added = spec["added_tokens"]
@@ -121,12 +121,11 @@ class ByteModel:
 
         Works on Latin-1 text, one character per byte; the joint is in no token.
         """
-        joined = JOINT.join(w.decode("latin-1") for w in words)
+        joined = JOINT.join(words).decode("latin-1")
         found = list(self.longest.iter_long(joined))
-        ends = np.fromiter((end for end, _ in found), np.int64, len(found))
-        tokens = np.fromiter((n for _, n in found), np.int64, len(found))
+        pairs = np.fromiter(chain.from_iterable(found), np.int64, 2 * len(found)).reshape(-1, 2)
         stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        return tokens, np.searchsorted(stops, ends, "right")
+        return pairs[:, 1], np.searchsorted(stops, pairs[:, 0], "right")
 
     def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the pairs of tokens stay apart when their bytes are merged."""
@@ -147,7 +146,7 @@ class ByteModel:
             x, y = np.where(of_x, self.right[x], x), np.where(of_x, y, self.left[y])
         return out
 
-    def encode(self, words: list[str]) -> list[tuple[int, ...]]:
+    def encode(self, words: list[str]) -> list[list[int]]:
         """Ids of each word."""
         raw = [w.encode() for w in words]
         flat, word = self.guess(raw)
@@ -157,20 +156,19 @@ class ByteModel:
         good = self.compatible(keys >> 32, keys & 0xFFFFFFFF)[which]
         fails = covered != np.fromiter(map(len, raw), np.int64, len(raw))
         fails[word[inside[~good]]] = True
-        tokens = self.id_of[flat].tolist()
-        ends = np.cumsum(np.bincount(word, minlength=len(words))).tolist()
-        out = [tuple(tokens[a:b]) for a, b in zip([0, *ends], ends)]
+        out = _cut(self.id_of[flat].tolist(), np.bincount(word, minlength=len(words)))
         failed = np.flatnonzero(fails).tolist()
-        for n, symbols in zip(failed, self._exact([raw[n] for n in failed])):
-            out[n] = tuple(self.id_of[symbols].tolist())
+        for n, symbols in zip(failed, self._exact([raw[n] for n in failed], self.id_of)):
+            out[n] = symbols
         return out
 
-    def _exact(self, words: list[bytes]) -> list[list[int]]:
-        """Merge the words from their bytes, short ones together."""
+    def _exact(self, words: list[bytes], name: np.ndarray | None = None) -> list[list[int]]:
+        """Merge the words from their bytes, short ones together; symbols, or their names."""
         out: list[list[int]] = [[]] * len(words)
+        name = np.arange(len(self.left)) if name is None else name
         short = [n for n, w in enumerate(words) if len(w) <= LONG_WORD]
         for n in set(range(len(words))).difference(short):
-            out[n] = merge_sequence(self.byte[list(words[n])].tolist(), self.pairs)
+            out[n] = name[merge_sequence(self.byte[list(words[n])].tolist(), self.pairs)].tolist()
         if short:
             sizes = [len(words[n]) for n in short]
             flat = np.frombuffer(b"".join(words[n] for n in short), np.uint8)
@@ -178,27 +176,76 @@ class ByteModel:
                 self.byte[flat], np.repeat(np.arange(len(short)), sizes), self.pairs
             )
             order = np.argsort(word, kind="stable")
-            ends = np.cumsum(np.bincount(word, minlength=len(short)))[:-1]
-            for n, part in zip(short, np.split(symbol[order], ends)):
-                out[n] = part.tolist()
+            parts = _cut(name[symbol[order]].tolist(), np.bincount(word, minlength=len(short)))
+            for n, part in zip(short, parts):
+                out[n] = part
         return out
 
-    def ids(self, texts: list[str], known: dict[str, tuple[int, ...]]) -> list[list[int]]:
+    def ids(self, texts: list[str], known: "Words") -> list[list[int]]:
         """Ids of whole texts; ``known`` remembers words between calls."""
         split = [self.words(t) for t in texts]
-        fresh = list({w for words in split for w in words}.difference(known))
-        if len(known) + len(fresh) > REMEMBERED:
-            known.clear()
-            fresh = list({w for words in split for w in words})
-        known.update(zip(fresh, self.encode(fresh)))
-        known.update((text, (n,)) for text, n in self.added.items())
-        return [list(chain.from_iterable(map(known.__getitem__, words))) for words in split]
+        known.learn(split)
+        return [list(chain.from_iterable(map(known.ids.__getitem__, words))) for words in split]
+
+    def digests(self, texts: list[str], known: "Words") -> tuple[list[int], list[str], list[str]]:
+        """Tokens, digest of the decimal ids and digest of the decoded text of whole texts.
+
+        The ids and the bytes that their tokens stand for are joined per word.
+        """
+        split = [self.words(t) for t in texts]
+        known.learn(split)
+        sizes, encoded, decoded = [], [], []
+        for words in split:
+            ids = ",".join(map(known.decimal.__getitem__, words))
+            sizes.append(ids.count(",") + 1 if words else 0)
+            encoded.append(_sha256(ids))
+            back = b"".join(map(known.bytes.__getitem__, words))
+            decoded.append(_sha256(back.decode("utf-8", "replace")))
+        return sizes, encoded, decoded
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids, special tokens as their strings; broken UTF-8 is replaced."""
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def _cut(flat: list, sizes: np.ndarray) -> list[list]:
+    ends = np.cumsum(sizes).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+
+class Words:
+    """What a task remembers of words: REMEMBERED at most between two calls.
+
+    ``joined`` keeps per word the decimal ids and the bytes of its tokens, else the
+    ids.  When too many come together the older half goes.
+    """
+
+    def __init__(self, model: ByteModel, joined: bool = False):
+        self.model, self.joined = model, joined
+        self.ids: dict[str, list[int]] = {}
+        self.decimal: dict[str, str] = {}
+        self.bytes: dict[str, bytes] = {}
+
+    def learn(self, split: list[list[str]]) -> None:
+        kept = self.decimal if self.joined else self.ids
+        asked = {w for words in split for w in words}
+        fresh = asked.difference(kept)
+        if len(kept) + len(fresh) > REMEMBERED:
+            for old in list(islice(kept, len(kept) // 2)):
+                for part in (self.ids, self.decimal, self.bytes):
+                    part.pop(old, None)
+            fresh = asked.difference(kept)
+        words = list(fresh)
+        added = self.model.added
+        for word, ids in zip(words, self.model.encode(words)):
+            ids = [added[word]] if word in added else ids
+            if self.joined:
+                self.decimal[word] = ",".join(map(str, ids))
+                self.bytes[word] = b"".join(map(self.model.bytes_of.__getitem__, ids))
+            else:
+                self.ids[word] = ids
+
+
 @lru_cache(maxsize=2)
 def byte_model(path: str) -> ByteModel:
     return ByteModel(path)
@@ -215,7 +262,10 @@ def encode(
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, ids, _ in _encoded(batches, model_path):
+        model = byte_model(model_path)
+        known = Words(model)
+        for keys, texts in _pieces(batches):
+            ids = model.ids(texts, known)
             yield pa.RecordBatch.from_arrays(
                 [keys, pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
             )
@@ -234,14 +284,12 @@ def round_trip(
     """
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, ids, model in _encoded(batches, model_path):
+        model = byte_model(model_path)
+        known = Words(model, joined=True)
+        for keys, texts in _pieces(batches):
+            sizes, encoded, decoded = model.digests(texts, known)
             yield pa.RecordBatch.from_arrays(
-                [
-                    keys,
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([_sha256(",".join(map(str, x))) for x in ids]),
-                    pa.array([_sha256(model.decode(x)) for x in ids]),
-                ],
+                [keys, pa.array(sizes, pa.int64()), pa.array(encoded), pa.array(decoded)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
@@ -262,12 +310,9 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
     return rows, rows.schema["doc_id"].dataType.simpleString()
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], model_path: str):
-    """Per piece of a batch: keys, lists of ids, and the model."""
-    model = byte_model(model_path)
-    known: dict[str, tuple[int, ...]] = {}
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Keys and texts of a batch, some characters at a time."""
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        for start, stop in chunks(texts):
-            keys = batch.column("doc_id").slice(start, stop - start)
-            yield keys, model.ids(texts[start:stop], known), model
+        for start, stop in chunks(texts, 1 << 20):
+            yield batch.column("doc_id").slice(start, stop - start), texts[start:stop]

@@ -394,16 +394,23 @@ class _Join:
         )
         pairs = materialize(pairs.distinct(), "group_pairs")
         discard(open_)
-        of_units = active.select("unit", "lead").join(labels, "unit")
-        a, b = (
-            of_units.select(F.col("unit").alias(s), F.col("lead").alias(f"_{s}"), F.col("comp").alias(f"_comp_{s}"))
-            for s in "ab"
+        # units are tested where they meet: a group's bits say little if it is large
+        of_units = active.select("unit", "lead", "n", "sketch").join(labels, "unit")
+        a, b = (of_units.select(*[F.col(c).alias(f"{s}_{c}") for c in of_units.columns]) for s in "ab")
+        sizes = F.col("a_n"), F.col("b_n")
+        apart = _differing(F.col("a_sketch"), F.col("b_sketch"), SKETCH // 64)
+        near = (F.col("a_comp") != F.col("b_comp")) & self.within(*sizes, apart)
+        split = groups.filter("low != high").select(F.col("lead").alias("a_lead"))
+        inside = a.join(split, "a_lead", "left_semi").join(
+            b, (F.col("a_lead") == F.col("b_lead")) & (F.col("a_unit") < F.col("b_unit")) & near
+        )
+        across = pairs.join(a, F.col("_a") == F.col("a_lead")).join(
+            b, (F.col("_b") == F.col("b_lead")) & near
+        )
+        found = reduce(
+            DataFrame.unionByName,
+            [p.select(F.col("a_unit").alias("a"), F.col("b_unit").alias("b")) for p in (across, inside)],
         )
-        across = pairs.join(a, "_a").join(b, "_b")
-        split = groups.filter("low != high").select(F.col("lead").alias("_a"))
-        inside = a.join(split, "_a", "left_semi").join(b, (F.col("_a") == F.col("_b")) & (F.col("a") < F.col("b")))
-        apart = F.col("_comp_a") != F.col("_comp_b")
-        found = across.filter(apart).select("a", "b").unionByName(inside.filter(apart).select("a", "b"))
         found = materialize(found, "pairs")
         discard(groups, pairs)
         return found
