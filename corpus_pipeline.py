@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierframe.llm import byte_bpe, line_chunks, mixing, ngram_join, quality
+from tierframe.llm.text import n_words
 from tierframe.sources.staging import materialize
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -21,9 +23,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that an earlier place has: two lines
-    or more, or a line of 50 words or more."""
-    return line_chunks.without_repeats(docs, length_col="n_chars")
+    """Documents without the passages that an earlier place has: two lines or more,
+    or a line of 50 words or more.  One that has no word left goes."""
+    left = line_chunks.without_repeats(docs, length_col="n_chars")
+    return left.filter(n_words(F.col("text")) > 0)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
