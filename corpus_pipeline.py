@@ -25,7 +25,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier place has: two lines or more,
     or a line of 50 words or more.  One that has no word left goes."""
-    left = line_chunks.without_repeats(docs, length_col="n_chars")
+    # written first: a filter would be put before the lines are cut, and cut them again
+    left = materialize(line_chunks.without_repeats(docs, length_col="n_chars"), "left_lines")
     return left.filter(n_words(F.col("text")) > 0)
 
 
