@@ -1,0 +1,195 @@
+"""The booster for all classes: splits, NULL, patience, folds trained together."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import plan_of
+from tierframe.learning import softmax_trees as st
+from tierframe.learning.folds import hard_auc, train_folds
+from tierframe.learning.models import BoostedTrees, assemble
+from tierframe.sources.staging import materialize
+
+
+@pytest.fixture(scope="module")
+def learnable(spark):
+    """Four classes by two features, a third of noise, a fourth that is NULL for class 3."""
+    source = random.Random(6)
+    rows = []
+    for i in range(1200):
+        k = source.randrange(4)
+        rows.append((i, k, i % 3, k % 2 + source.gauss(0, 0.4), k // 2 + source.gauss(0, 0.4), source.random(),
+                     None if k == 3 and i % 2 else source.choice([0.0, 1.0])))
+    schema = "id int, class int, fold int, x double, y double, noise double, gap double"
+    return materialize(spark.createDataFrame(rows, schema), "learnable")
+
+
+FEATURES = ["x", "y", "noise", "gap"]
+SMALL = st.SoftmaxTrees(iterations=12, depth=3, patience=4)
+
+
+def test_bytes_and_null(spark):
+    df = spark.createDataFrame(
+        [(1, 0.0, 1.0), (2, None, 1.0), (3, float("nan"), 1.0), (4, -5.0, None), (5, 9.0, 1.0)],
+        "id int, a double, b double",
+    )
+    cuts = st.Cuts.fit(df, ["a", "b"], 4)
+    rows = {r.id: tuple(r.bins) for r in cuts.apply(df, ["id"]).collect()}
+    assert rows[2][0] == rows[3][0] == 0 and rows[4][1] == 0
+    assert 0 < rows[4][0] < rows[1][0] <= rows[5][0] < cuts.width
+    with pytest.raises(ValueError):
+        st.Cuts.fit(df, ["a"], 255)
+
+
+def test_best_split_against_all_splits():
+    draw = np.random.default_rng(3)
+    for turn in range(60):
+        p = st.SoftmaxTrees(l1=turn % 3 * 0.3, l2=float(turn % 2), least_rows=turn % 5 + 1, learning_rate=1.0)
+        n, dims, width = 40, 3, 6
+        x = draw.integers(0, width, (n, dims))
+        g, h = draw.normal(0, 1, n), draw.uniform(0.1, 0.25, n)
+        sums = [
+            np.stack([np.bincount(x[:, f], w, minlength=width) for f in range(dims)])
+            for w in (g, h, np.ones(n))
+        ]
+        pull = lambda t: np.sign(t) * max(abs(t) - p.l1, 0)
+        worth = lambda m: pull(g[m].sum()) ** 2 / (h[m].sum() + p.l2)
+        best = 0.0
+        for f in range(dims):
+            for cut in range(1, width - 1):
+                for null_left in (True, False):
+                    left = np.where(x[:, f] == 0, null_left, x[:, f] <= cut)
+                    if min(left.sum(), (~left).sum()) >= p.least_rows:
+                        best = max(best, worth(left) + worth(~left) - worth(np.ones(n, bool)))
+        gain, f, cut, null_left, low, high, _ = st.best_split(*sums, p)
+        assert gain == pytest.approx(best)
+        if f >= 0:
+            left = np.where(x[:, f] == 0, null_left, x[:, f] <= cut)
+            assert low == pytest.approx(-pull(g[left].sum()) / (h[left].sum() + p.l2))
+            assert high == pytest.approx(-pull(g[~left].sum()) / (h[~left].sum() + p.l2))
+
+
+def plain_rounds(x, truth, p, n):
+    """The first rounds on all rows and columns, node by node."""
+    scores = np.zeros((len(x), 4))
+    for _ in range(n):
+        chance, new = st.softmax(scores), scores.copy()
+        for k in range(4):
+            g, h = chance[:, k] - (truth == k), chance[:, k] * (1 - chance[:, k])
+
+            def grow(here, depth):
+                sums = [
+                    np.stack([np.bincount(c, w, minlength=st_width) for c in x[here].T])
+                    for w in (g[here], h[here], np.ones(len(here)))
+                ]
+                gain, f, cut, null_left, low, high, own = st.best_split(*sums, p)
+                if f < 0:
+                    new[here, k] += own
+                    return
+                left = np.where(x[here, f] == 0, null_left, x[here, f] <= cut)
+                for side, value in ((here[left], low), (here[~left], high)):
+                    if depth + 1 < p.depth:
+                        grow(side, depth + 1)
+                    else:
+                        new[side, k] += value
+
+            st_width = int(x.max()) + 2
+            grow(np.arange(len(x)), 0)
+        scores = new
+    return scores
+
+
+def test_rounds_against_plain_growth(learnable, monkeypatch):
+    # a node a pass, and scores written every other round
+    monkeypatch.setattr(st, "HISTOGRAM_BYTES", 1)
+    monkeypatch.setattr(st, "RESTAGE", 2)
+    p = st.SoftmaxTrees(iterations=3, depth=2, row_share=1.0, column_share=1.0)
+    cuts = st.Cuts.fit(learnable, FEATURES, 16)
+    rows = cuts.apply(learnable, ["id", "class", "fold"])
+    model = st.fit_together(rows, cuts, "id", "class", [st.Job(p)])[0]
+    assert len(model.rounds) == 3 and model.losses == []
+    table = rows.orderBy("id").collect()
+    x = np.array([list(r.bins) for r in table], np.uint8)
+    expected = plain_rounds(x, np.array([r["class"] for r in table]), p, 3)
+    assert np.allclose(model.scores(x), expected, atol=1e-9)
+
+
+def test_folds_trained_together(learnable):
+    test = learnable.select("id", *FEATURES)
+    oof, scored, bundle = st.train_fold_models(learnable, FEATURES, "id", "class", SMALL, 3, test)
+    rows = oof.collect()
+    assert sorted(r.id for r in rows) == list(range(1200))
+    assert all(sum(r.probs) == pytest.approx(1.0) for r in rows)
+    assert scored.count() == 1200
+    for df in (oof, scored):
+        plan = plan_of(df)
+        assert "Exchange" not in plan and plan.count("FileScan") == 1
+    # no worse than one booster for each class
+    four = train_folds(
+        assemble(learnable, FEATURES, ["id", "class", "fold"]),
+        BoostedTrees(iterations=12, depth=3, column_share=1.0), "id", "class", 3,
+    )
+    own, other = (hard_auc(df, "class").first().auc for df in (oof, four.oof))
+    assert own > 0.85 and own >= other - 0.005
+    share = {f: (g, n) for f, g, n in bundle.models[0].importance()}
+    assert sum(g for g, _ in share.values()) == pytest.approx(1.0)
+    assert share["x"][0] > share["noise"][0] and share["gap"][1] > 0
+    # trained apart, a model is the same
+    cuts = bundle.models[1].cuts
+    rows = cuts.apply(learnable, ["id", "class", "fold"])
+    alone = st.fit_together(rows, cuts, "id", "class", [st.Job(SMALL, 1)])[0]
+    assert alone.losses == pytest.approx(bundle.models[1].losses)
+
+
+def test_null_is_not_zero(spark):
+    rows = [(i, int(i % 2), None if i % 2 else 0.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, class int, x double")
+    cuts = st.Cuts.fit(df, ["x"])
+    binned = cuts.apply(df, ["id", "class"])
+    p = st.SoftmaxTrees(iterations=20, depth=1, column_share=1.0)
+    model = st.fit_together(binned, cuts, "id", "class", [st.Job(p)])[0]
+    for r in st.Bundle([model]).mean(binned).collect():
+        assert r.probs[r["class"]] > 0.8
+
+
+def test_patience_and_best_round():
+    losses = [1.0, 0.9, 0.95, 0.96, 0.8, 0.85, 0.9, 0.9]
+    ended = [n for n in range(1, len(losses) + 1) if st._ended(losses[:n], 3)]
+    # a dip of two rounds is waited for
+    assert ended == [8] and st.best_round(losses) == 4
+    assert [n for n in range(1, 9) if st._ended(losses[:n], 2)][0] == 4
+    assert not st._ended([], 1)
+
+
+def test_model_is_cut_at_its_best_round(spark):
+    source = random.Random(1)
+    rows = [(i, source.randrange(4), i % 4, source.random(), source.random()) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, class int, fold int, x double, y double")
+    p = st.SoftmaxTrees(iterations=40, depth=4, learning_rate=0.5, least_rows=2, patience=3)
+    _, _, bundle = st.train_fold_models(df, ["x", "y"], "id", "class", p, 2)
+    for model in bundle.models:
+        best = st.best_round(model.losses)
+        assert len(model.rounds) == best and len(model.losses) - 1 == best + 3
+
+
+def test_losses_are_those_of_every_prefix(learnable):
+    oof, _, bundle = st.train_fold_models(learnable, FEATURES, "id", "class", SMALL, 3)
+    model = bundle.models[2]
+    held = model.cuts.apply(learnable.filter("fold = 2"), ["class"]).collect()
+    x = np.array([list(r.bins) for r in held], np.uint8)
+    truth = np.array([r["class"] for r in held])
+    for t in range(len(model.rounds) + 1):
+        part = st.SoftmaxModel(model.cuts, model.rounds[:t])
+        loss = -np.log(st.softmax(part.scores(x))[np.arange(len(x)), truth]).mean()
+        assert loss == pytest.approx(model.losses[t])
+
+
+def test_rows_without_label_and_no_rows(spark, learnable):
+    some = learnable.withColumn("class", F.when(F.col("id") % 5 > 0, F.col("class")))
+    oof, _, _ = st.train_fold_models(some, FEATURES, "id", "class", st.SoftmaxTrees(iterations=1, depth=1), 3)
+    assert oof.count() == 960
+    none = learnable.limit(0)
+    oof, scored, bundle = st.train_fold_models(none, FEATURES, "id", "class", SMALL, 2, none)
+    assert oof.count() == scored.count() == 0
