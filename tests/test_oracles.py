@@ -11,7 +11,7 @@ from tests.conftest import SF_DIR, plan_of
 
 TRAINED = {
     "oof_trees", "test_trees", "tree_importance", "oof_mlp", "stack_fit", "drift_model",
-    "search_params",
+    "search_params", "round_one_oof", "round_one_submission",
 }
 
 

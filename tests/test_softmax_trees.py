@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
+from tierframe.catalog import model_queries
 from tierframe.learning import softmax_trees as st
 from tierframe.learning.folds import hard_auc, train_folds
 from tierframe.learning.models import BoostedTrees, assemble
+from tierframe.learning.search import rungs, search
 from tierframe.sources.staging import materialize
 
 
@@ -193,3 +195,34 @@ def test_rows_without_label_and_no_rows(spark, learnable):
     none = learnable.limit(0)
     oof, scored, bundle = st.train_fold_models(none, FEATURES, "id", "class", SMALL, 2, none)
     assert oof.count() == scored.count() == 0
+
+
+def test_search_halves_the_draws(learnable):
+    assert rungs(20, 100) == [(20, 3), (6, 9), (2, 27), (1, 81)]
+    assert rungs(20, 2) == [(20, 2)] and rungs(1, 100) == [(1, 3)] and rungs(2, 5) == [(2, 3), (1, 5)]
+    rows = assemble(learnable, FEATURES, ["id", "class", "fold"])
+    bounds = {"learning_rate": (0.001, 0.3), "depth": (1, 3)}
+    base = st.SoftmaxTrees(iterations=9, column_share=1.0)
+    found = search(rows, "id", "class", base, 6, bounds, folds=3, seed=1).collect()
+    assert sorted(r.draw for r in found) == list(range(6))
+    assert found[0].auc > 0.8 and found[0].auc >= found[1].auc
+    again = search(rows, "id", "class", base, 6, bounds, folds=3, seed=1).collect()
+    assert [r.draw for r in again] == [r.draw for r in found]
+
+
+def test_round_one_end_to_end(spark, sf_dir, monkeypatch):
+    """Every train jet once out of its event's fold, every test jet with a label."""
+    short = st.SoftmaxTrees(iterations=2, depth=2)
+    whole = model_queries.train_fold_models
+    monkeypatch.setattr(
+        model_queries, "train_fold_models", lambda *a, **named: whole(*a, learner=short, **named)
+    )
+    jets = model_queries.V.jets(spark, sf_dir)
+    oof = {r.jet_id: r for r in model_queries.round_one_oof(spark, sf_dir).collect()}
+    known = {r.jet_id: r for r in model_queries.FD.group_folds(jets, "event_id").collect()}
+    assert set(oof) == {k for k, r in known.items() if r.label is not None}
+    for k, r in oof.items():
+        assert r.fold == known[k].fold and r.p1 + r.p2 + r.p3 + r.p4 == pytest.approx(1.0)
+    labels = {r.id: r.label for r in model_queries.round_one_submission(spark, sf_dir).collect()}
+    assert set(labels) == {k for k, r in known.items() if r.split == "test"}
+    assert set(labels.values()) <= {21, 1, 4, 5}

@@ -11,6 +11,7 @@ from tierframe.learning.drift import drift_model as fit_drift_model
 from tierframe.learning.folds import train_folds
 from tierframe.learning.models import BoostedTrees, assemble, perceptron
 from tierframe.learning.search import search
+from tierframe.learning.softmax_trees import train_fold_models
 from tierframe.learning.stacking import fit_stack
 from tierframe.operators import ensemble as EN
 from tierframe.operators import folds as FD
@@ -21,7 +22,7 @@ from tierframe.operators.metrics import hard_label_aucs, macro_auc, score_aucs
 from tierframe.operators.profile import importance_report
 from tierframe.operators.scaling import StandardScale
 from tierframe.operators.stats import vote
-from tierframe.plans.jets import jet_features
+from tierframe.plans.jets import jet_features, jet_table
 from tierframe.plans.submission import predicted_labels
 from tierframe.sources import views as V
 from tierframe.sources.predictions import probability_columns, side_by_side
@@ -207,6 +208,27 @@ def tree_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_report(gains, 50).join(splits, "feature")
 
 
+def _round_one(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Out-of-fold rows of the train jets and test jets by the mean of the fold models,
+    on all jet features and statistics of the event."""
+    table = jet_table(V.jets(spark, sf_dir)).withColumn("class", label_to_class(F.col("label")))
+    features = [c for c in _features(table) if c != "class"]
+    rows = materialize(FD.group_folds(table, "event_id"), "round_one")
+    train, test = (rows.filter(F.col("split") == s) for s in ("train", "test"))
+    oof, scored, _ = train_fold_models(train, features, "jet_id", "class", test=test)
+    return oof, scored
+
+
+def round_one_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    oof, _ = _round_one(spark, sf_dir)
+    return oof.select("jet_id", "class", "fold", *probability_columns())
+
+
+def round_one_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scored = _round_one(spark, sf_dir)
+    return predicted_labels(scored, "jet_id").withColumnRenamed("jet_id", "id")
+
+
 def oof_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = _wide_with_truth(spark, sf_dir)
     scaled = StandardScale.fit(wide, MATRIX).apply(wide)
@@ -262,6 +284,8 @@ QUERIES = {
         oof_trees,
         test_trees,
         tree_importance,
+        round_one_oof,
+        round_one_submission,
         oof_mlp,
         stack_fit,
         drift_model,
