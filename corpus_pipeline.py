@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierframe.llm import byte_bpe, line_chunks, mixing, ngram_join, quality
-from tierframe.llm.text import n_words
+from tierframe.llm.text import fresh, n_words
 from tierframe.sources.staging import materialize
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -25,9 +25,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier place has: two lines or more,
     or a line of 50 words or more.  One that has no word left goes."""
-    # written first: a filter would be put before the lines are cut, and cut them again
-    left = materialize(line_chunks.without_repeats(docs, length_col="n_chars"), "left_lines")
-    return left.filter(n_words(F.col("text")) > 0)
+    left = line_chunks.without_repeats(docs, length_col="n_chars")
+    # a plain filter would be put before the lines are cut, and cut them again for
+    # every line; one on what an array is spread to stays behind
+    there = fresh(docs, "there")
+    row = F.array(F.struct(F.lit(True).alias(there), *docs.columns))
+    kept = F.filter(row, lambda r: n_words(r["text"]) > 0)
+    return left.select(F.inline_outer(kept)).filter(there).drop(there)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -239,6 +239,8 @@ def whole_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     keyed = _keyed(docs, id_col, text_col)
     going = _going(keyed, text_col, cut_up, "windows", lambda window: window["text"].isNotNull())
+    # written, so that the texts shuffled for it are gone when the documents are
+    going = materialize(going, "line-going")
     entries = F.transform("windows", lambda w, n: _entry(n, w["text"]))
     # the bytes are compared here, as in passages
     equal = F.array_intersect(entries, F.coalesce("_going", F.array().cast("array<string>")))
