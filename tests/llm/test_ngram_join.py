@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,26 @@ def test_components_of_path_and_star(spark):
     assert len({got[n] for n in range(61)}) == 1
     assert len({got[n] for n in range(1000, 1201)}) == 1
     assert components(edges.limit(0)).collect() == []
+
+
+def test_sketches_never_exceed_the_difference():
+    draw = random.Random(3)
+    for bits in (256, 512, 4096):
+        for _ in range(50):
+            pool = [draw.getrandbits(64) for _ in range(400)]
+            a, b = (np.unique(np.array(draw.sample(pool, draw.randint(1, 400)), np.uint64)) for _ in "ab")
+            x, y = (ngram_join.parities(s, bits).view(np.uint64) for s in (a, b))
+            apart = int(np.bitwise_count(x ^ y).sum())
+            assert apart <= len(np.setxor1d(a, b)) and not (ngram_join.parities(a, bits) ^ x.view(np.int64)).any()
+            # half as many bits are the two halves put together
+            half = ngram_join.parities(a, bits // 2).view(np.uint64)
+            assert (half == x[: len(half)] ^ x[len(half) :]).all()
+
+
+def test_crowded_members_come_last():
+    members = np.array([2, 5, 7, 9], np.uint64)
+    order = lambda *last: ngram_join.in_order(members, np.array(last, np.uint64)).tolist()
+    assert order() == order(1, 6, 2**64 - 1) == [2, 5, 7, 9]
+    assert order(2, 6, 7) == [5, 9, 2, 7]
+    assert order(2, 5, 7, 9) == [2, 5, 7, 9]
+    assert ngram_join.in_order(members[:0], members).tolist() == []
