@@ -1,5 +1,6 @@
 """Scans, sinks, projections and submissions."""
 
+import os
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,3 +152,14 @@ def test_submissions(spark):
     sample = spark.createDataFrame([("f", 0), ("z", 0)], "id string, label int")
     filled = fill_sample(sample, labels.withColumnRenamed("event_id", "id"))
     assert rows_of(filled) == [("f", 21), ("z", None)]
+
+
+def test_staged_tables_can_be_discarded(spark):
+    from tierframe.sources.staging import discard, materialize
+
+    kept, gone = (materialize(spark.range(5), name) for name in ("kept", "gone"))
+    files = gone.inputFiles()
+    # only what materialize made, and twice is once
+    discard(gone, gone, kept.filter("id > 1"))
+    assert kept.count() == 5
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
