@@ -98,6 +98,10 @@ def _repeated_lines(text: str) -> int:
     return repeated
 
 
+# parts of the sample in the fits
+FIT_PARTS = 12
+
+
 @dataclass
 class QualityModel:
     """Weights of the character bins, then of the word bins; size fixed by BINS."""
@@ -177,6 +181,9 @@ def train(
     rows = materialize(rows, "features")
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).alias("half")
     vectors = rows.select("label", half, _sparse("at", "value").alias("features"))
+    # written as vectors, which every step of the fits reads, in a few parts: the rows
+    # are bounded, and each part of a step sends a sum as wide as the weights
+    vectors = materialize(vectors.coalesce(FIT_PARTS), "vectors")
     classes = {(r.half, r.label): r["count"] for r in vectors.groupBy("half", "label").count().collect()}
     if len(classes) < 4:
         return None
