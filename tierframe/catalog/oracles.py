@@ -468,6 +468,32 @@ HASH = "CAST(concat('0x', substr(md5({0}), 1, 8)) AS BIGINT)"
 GROUP_FOLD = "CAST(" + HASH.format("CAST({0} AS VARCHAR)") + " % 5 AS INTEGER)"
 SEEDED = "md5(concat('{0}:', CAST({1} AS VARCHAR)))"
 
+PARTICLE_INTEGERS = ["jet_id", "particle_category", "line_number", "part_key", "supplier_key"]
+PARTICLE_REALS = [f"particle_{n}" for n in ("px", "py", "pz", "energy", "mass")] + ["price"]
+
+
+def type_table(integers: list[str], reals: list[str], texts: list[str], table: str) -> str:
+    """Per column the narrowest type that holds all of its values."""
+    widths = " ".join(
+        f"WHEN min({{0}}) >= -{1 << bits} AND max({{0}}) < {1 << bits} THEN '{name}'"
+        for name, bits in (("tinyint", 7), ("smallint", 15), ("int", 31))
+    )
+    fits = "WHEN bool_and(CAST(CAST({0} AS FLOAT) AS DOUBLE) = {0}) THEN 'float'"
+    found = {n: f"CASE {widths.format(n)} ELSE 'bigint' END" for n in integers}
+    found |= {n: f"CASE {fits.format(n)} ELSE 'double' END" for n in reals}
+    found |= {n: "max('string')" for n in texts}
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS column_name, {kind} AS type_name FROM {table}" for n, kind in found.items()
+    )
+
+
+def merged_stat(kind: str, name: str) -> str:
+    """As it is stored: the count as it is, else as float."""
+    functions = {**SQL_STATS, "count": "count", "sum": "sum"}
+    value = rounded(kind, f"{functions[kind]}({name})")
+    return value if kind == "count" else f"CAST({value} AS FLOAT) + {ZERO}"
+
+
 ORACLES = {
     # features
     "particle_features": sql(
@@ -611,6 +637,30 @@ ORACLES = {
             FROM event LEFT JOIN (SELECT * FROM prediction WHERE model = 'xgb' AND split = 'test')
             ON id = event_id""",
     ),
+    "csv_types": sql(["particle"], type_table(PARTICLE_INTEGERS, PARTICLE_REALS, ["shipped"], "particle")),
+    "csv_inferred": sql(
+        ["particle"],
+        "SELECT "
+        + ", ".join(f"CAST({n} AS BIGINT) AS {n}" for n in PARTICLE_INTEGERS)
+        + f""", {", ".join(PARTICLE_REALS)}, CAST(CAST(shipped AS DATE) AS VARCHAR) AS shipped
+            FROM particle""",
+    ),
+    "narrowest_types": sql(
+        ["jet"],
+        type_table(
+            ["jet_id", "event_id", JET_RAW[0], "label"],
+            [*JET_RAW[1:], "third"],
+            ["split"],
+            "(SELECT *, jet_energy / 3 AS third FROM jet)",
+        ),
+    ),
+    "bucketed_join": sql(
+        ["particle", "jet"],
+        """SELECT jet_id, event_id, jet_energy, coalesce(n_particles, 0) AS n_particles, most_energy
+           FROM jet LEFT JOIN (
+             SELECT jet_id, count(*) AS n_particles, max(particle_energy) AS most_energy
+             FROM particle GROUP BY jet_id) USING (jet_id)""",
+    ),
     # columns
     "select_exclude": sql(["jet"], f"SELECT jet_id, {', '.join(JET_RAW)} FROM jet"),
     "select_prefix": sql(
@@ -702,6 +752,16 @@ ORACLES = {
                   count(DISTINCT particle_category) <= 1 AS agrees
            FROM particle GROUP BY supplier_key""",
     ),
+    "merged_group_stats": sql(
+        ["jet"],
+        f"SELECT {JET_RAW[0]}, "
+        + ", ".join(
+            f"{merged_stat(kind, n)} AS {JET_RAW[0]}_{n.removeprefix('jet_')}_{kind}"
+            for n in JET_RAW[1:]
+            for kind in ("count", "max", "mean", "min", "std", "sum")
+        )
+        + f" FROM jet GROUP BY {JET_RAW[0]}",
+    ),
     "describe_columns": sql(
         ["jet"],
         f"""SELECT column_name, count(value) AS count, CAST(avg(value) AS FLOAT) AS mean,

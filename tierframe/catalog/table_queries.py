@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierframe.catalog.feature_queries import labelled, stored
+from tierframe.catalog.feature_queries import DIGITS, labelled, stored
 from tierframe.functions.classes import (
     N_CLASSES,
     argmax,
@@ -15,15 +15,18 @@ from tierframe.functions.classes import (
     one_hot,
 )
 from tierframe.operators import columns as C
+from tierframe.operators.group_state import group_state, merge_states, stats_of
+from tierframe.operators.narrowing import number_types, read_csv_inferred
 from tierframe.operators.profile import describe, importance_report, melt, table_profile
 from tierframe.operators.slots import flatten
-from tierframe.operators.stats import agreement, distinct_keys, vote
+from tierframe.operators.stats import Stat, agreement, distinct_keys, vote, with_digits
 from tierframe.plans import event_table as E
 from tierframe.plans.jets import jet_features, jet_table
 from tierframe.plans.submission import fan_out, fill_sample, predicted_labels
 from tierframe.sources import predictions as PR
 from tierframe.sources import tables as IO
 from tierframe.sources import views as V
+from tierframe.sources.bucketed import write_bucketed
 from tierframe.sources.staging import staging_path
 
 LONG = T.LongType()
@@ -115,6 +118,52 @@ def sample_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled(fill_sample(sample, winners))
 
 
+def _dated_particles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.particles(spark, sf_dir).withColumn("shipped", F.col("shipped").cast("date"))
+
+
+def _type_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    rows = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    return spark.createDataFrame(rows, "column_name string, type_name string")
+
+
+def csv_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types found in a CSV file that nothing is told about."""
+    path = staging_path(spark, "untyped_csv")
+    IO.write_csv(_dated_particles(spark, sf_dir), path)
+    return _type_table(spark, read_csv_inferred(spark, path).schema)
+
+
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Its rows; the widths, which depend on the values, are levelled again."""
+    path = staging_path(spark, "untyped_csv")
+    IO.write_csv(_dated_particles(spark, sf_dir), path)
+    found = read_csv_inferred(spark, path)
+    wide = {"tinyint": "bigint", "smallint": "bigint", "int": "bigint", "float": "double"}
+    return found.select(*[F.col(c).cast(wide.get(t, t)).alias(c) for c, t in found.dtypes])
+
+
+def narrowest_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jets = V.jets(spark, sf_dir).withColumn("third", F.col("jet_energy") / 3)
+    return _type_table(spark, number_types(jets))
+
+
+def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jets and particles stored by jet: grouped and joined without a shuffle."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = {"particles": V.particles(spark, sf_dir), "jets": V.jets(spark, sf_dir)}
+    stored_by_jet = {
+        name: write_bucketed(table, staging_path(spark, name), "jet_id", buckets)
+        for name, table in tables.items()
+    }
+    strongest = stored_by_jet["particles"].groupBy("jet_id").agg(
+        F.count(F.lit(1)).alias("n_particles"), F.max("particle_energy").alias("most_energy")
+    )
+    joined = stored_by_jet["jets"].join(strongest.hint("merge"), "jet_id", "left")
+    joined = joined.fillna(0, subset=["n_particles"])
+    return joined.select("jet_id", "event_id", "jet_energy", "n_particles", "most_energy")
+
+
 # columns
 
 
@@ -225,6 +274,21 @@ def status_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agreement(particles, "supplier_key", "particle_category")
 
 
+STATE_KEY = "number_of_particles_in_this_jet"
+
+
+def merged_group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jets by their number of particles: the state of the train jets is written and
+    that of the test jets merged into it."""
+    names = [c for c in JET_RAW if c != STATE_KEY]
+    every = ("count", "max", "mean", "min", "std", "sum")
+    stats = with_digits([Stat(c, c.removeprefix("jet_"), every) for c in names], DIGITS)
+    train, test = (group_state(part, STATE_KEY, names) for part in _parts(spark, sf_dir))
+    path = staging_path(spark, "state")
+    IO.write_table(train, path)
+    return stored(stats_of(merge_states([IO.read_table(spark, path), test], STATE_KEY), STATE_KEY, stats))
+
+
 def describe_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(describe(V.jets(spark, sf_dir), JET_RAW))
 
@@ -291,6 +355,10 @@ QUERIES = {
         wide_csv,
         submission_csv,
         sample_fill,
+        csv_types,
+        csv_inferred,
+        narrowest_types,
+        bucketed_join,
         select_exclude,
         select_prefix,
         select_regex,
@@ -308,6 +376,7 @@ QUERIES = {
         profile,
         label_agreement,
         status_agreement,
+        merged_group_stats,
         describe_columns,
         importance_share,
         label_map,

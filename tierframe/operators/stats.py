@@ -42,12 +42,12 @@ class Stat:
     def texts(self, key: str) -> list[str]:
         """SQL text of the statistics."""
         return [
-            f"{self._rounded(kind, f'{AGGREGATES[kind]}({self.source})')}"
+            f"{self.rounded(kind, f'{AGGREGATES[kind]}({self.source})')}"
             f" AS {key}_{self.family}_{kind}"
             for kind in self.kinds
         ]
 
-    def _rounded(self, kind: str, text: str) -> str:
+    def rounded(self, kind: str, text: str) -> str:
         return f"round({text}, {self.digits})" if kind == "mean" and self.digits else text
 
 

@@ -65,8 +65,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .csv(path)
         .select(*known)
     )
-    doubles = [f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: nan_to_null(F.col(c)) for c in doubles}) if doubles else df
+    reals = [f.name for f in schema.fields if isinstance(f.dataType, T.FractionalType)]
+    return df.withColumns({c: nan_to_null(F.col(c)) for c in reals}) if reals else df
 
 
 def write_csv(df: DataFrame, path: str) -> None:
