@@ -87,6 +87,17 @@ def auc_per_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def auc_per_model_and_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = V.predictions(spark, sf_dir).filter(F.col("split") == "train")
+    marked = FD.group_folds(rows, "id").select(
+        "model", "fold", label_to_class(F.col("label")).alias("truth"),
+        argmax(F.col("probs")).alias("winner"),
+    )
+    return marked.groupBy("model", "fold").agg(
+        F.round(macro_auc(F.col("truth"), F.col("winner")), 6).alias("auc")
+    )
+
+
 def auc_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = [f"p{k}" for k in range(N_CLASSES)]
     rows = _scored(spark, sf_dir).select("truth", *probability_columns("probs", "p", 0))
@@ -271,6 +282,7 @@ QUERIES = {
         fold_training_rows,
         auc_hard_labels,
         auc_per_fold,
+        auc_per_model_and_fold,
         auc_scores,
         stack_matrix,
         blend_grid,

@@ -637,6 +637,10 @@ ORACLES = {
             FROM event LEFT JOIN (SELECT * FROM prediction WHERE model = 'xgb' AND split = 'test')
             ON id = event_id""",
     ),
+    "predictions_every_model": sql(
+        ["prediction"],
+        "SELECT id, model, split, p0 AS p1, p1 AS p2, p2 AS p3, p3 AS p4 FROM prediction",
+    ),
     "csv_types": sql(["particle"], type_table(PARTICLE_INTEGERS, PARTICLE_REALS, ["shipped"], "particle")),
     "csv_inferred": sql(
         ["particle"],
@@ -854,6 +858,11 @@ ORACLES = {
         f"""SELECT {GROUP_FOLD.format('id')} AS fold, round({macro()}, 6) AS auc FROM prediction
             WHERE split = 'train' AND model = 'lgb' GROUP BY ALL""",
     ),
+    "auc_per_model_and_fold": sql(
+        ["prediction"],
+        f"""SELECT model, {GROUP_FOLD.format('id')} AS fold, round({macro()}, 6) AS auc
+            FROM prediction WHERE split = 'train' GROUP BY ALL""",
+    ),
     "auc_scores": sql(
         ["prediction"],
         """SELECT class, round((sum(CASE WHEN hit THEN mid_rank ELSE 0 END)

@@ -78,6 +78,14 @@ def predictions_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("id", "model", *PR.probability_columns())
 
 
+def predictions_every_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four models, train and test, written and read again."""
+    path = staging_path(spark, "predictions")
+    PR.write_predictions(V.predictions(spark, sf_dir).select("id", "probs", "model", "split"), path)
+    back = PR.read_predictions(spark, path, V.MODELS)
+    return back.select("id", "model", "split", *PR.probability_columns())
+
+
 def probability_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "probabilities")
     averaged = V.predictions(spark, sf_dir).filter("model = 'cat' and split = 'test'")
@@ -351,6 +359,7 @@ QUERIES = {
         event_csv_scan,
         parquet_roundtrip,
         predictions_roundtrip,
+        predictions_every_model,
         probability_csv,
         wide_csv,
         submission_csv,
