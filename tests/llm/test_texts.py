@@ -288,6 +288,39 @@ def test_field_finds_what_the_patterns_lose(spans_model):
         assert personal_data.find_spans(clean, spans_model)[1] == []
 
 
+def test_secrets(spark, sf_dir, spans_model):
+    """Runs of the planted form, wherever they stand; texts without finds are left alone."""
+    key = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"
+    for text in (f'x token = "{key}" y', f'x "{key}" y', f"x {key.upper()}, y", f'token="{key}"###'):
+        assert [text[a:b].lower() for a, b, k in personal_data.find_spans(text, spans_model)[1] if k == "secret"] == [key]
+    for clean in ("release-2024-05-06T07-08-09Z", "a-word-of-many-parts-2nd-try", "0" * 40, "x1 y2 z3 a4 b5 c6 d7"):
+        assert personal_data.find_spans(clean, spans_model)[1] == []
+    # rows that the field was not fitted on
+    docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    planted = re.compile("[0-9a-f]{40}", re.IGNORECASE)
+    with_key = {k for k, t in texts.items() if planted.search(t)}
+    rows = personal_data.detect(docs, spans_model).collect()
+    found = {r.doc_id for r in rows if "secret:" in r.spans}
+    assert with_key and len(found & with_key) >= 0.9 * len(with_key)
+    assert found <= with_key
+    for r in rows:
+        assert r.n_spans == len(r.spans.split(",")) if r.spans else r.n_spans == 0
+
+
+def test_no_named_secret_no_find(docs_of):
+    """Without a value of a name the field has not seen a secret and adds none."""
+    model = personal_data.train(docs_of(["mail a.b@c.de of 1.2.3.4", "no 12 of 34"]))
+    assert model.spans("x 9b0b3c6a43eb78aa99cbd7049c572391524f37a8 y") == []
+
+
+def test_sample_counts_copies_once(docs_of):
+    """A crowd of copies does not push the other texts out of the sample."""
+    rare = [f"mail n{n}@host{n}.org now" for n in range(40)]
+    model = personal_data.train(docs_of(["the year 1999"] * 2000 + rare), sample=100)
+    assert model.weights and any(f.startswith("email|") for f in model.weights)
+
+
 def test_cut_is_the_best_of_all(spans_model):
     """The programme against every way to cut short windows."""
     for text in ("+1 843 555 7672 8", "a@b.c.d 12", "1.2.3.4.5.6", "99 a1@x.y"):

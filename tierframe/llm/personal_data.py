@@ -4,8 +4,10 @@ The patterns take the longest match and drop it whole if it fails its test, so a
 phone number with an address behind it is lost.  The field cuts the characters
 around digits and ``@`` into segments instead: every segment that passes the test
 of a kind is scored as a whole for it, and a dynamic programme picks the segments
-and their kinds together.  It is trained on the finds of the patterns in a bounded sample
-of the corpus.
+and their kinds together.  It also finds secrets, such as keys of an interface, which
+no pattern looks for: runs of changing letters and digits.  It is trained on the finds of
+the patterns in a bounded sample of the corpus, and for secrets on the runs in it that
+stand where a name such as ``token`` is given a value.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,6 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
+# found by the field alone; comes after the others
+SECRET = "secret"
+ORDER = {kind: n for n, kind in enumerate((*KINDS, SECRET))}
 # The patterns.  The look-behinds do not change the matches; they
 # keep runs of letters or digits from being tried at each of their characters.
 LOCAL = "A-Za-z0-9._%+-"
@@ -34,7 +40,11 @@ Span = tuple[int, int, str]
 # windows that the field is fitted on, at most, and documents they come from
 WINDOWS = 1200
 SAMPLE = 4000
-# atoms (runs of letters, runs of digits, single characters) of a segment
+# characters of a window that the field is fitted on, at most; longer ones are decoded
+# like all others
+LONGEST_WINDOW = 200
+# bound of the entities of the field, in atoms (runs of letters, runs of digits, single
+# characters); the patterns, and secrets, which are whole runs, have none
 MOST_ATOMS = 28
 EPOCHS = 12
 RATE = 0.3
@@ -44,6 +54,16 @@ SEED = re.compile("[0-9@]")
 WINDOW = re.compile(r"[^\s0-9@]*[0-9@]\S*(?:\x20[^\s0-9@]*[0-9@]\S*)*")
 ATOM = re.compile(r"[0-9]+|[A-Za-z]+|.", re.DOTALL)
 DIGITS = re.compile("[0-9]+")
+RUN = re.compile(r"[A-Za-z0-9_-]+")
+# a letter that follows a digit or the reverse: a secret has LEAST_CHANGES of them
+CHANGE = re.compile(r"(?<=[0-9])[A-Za-z]|(?<=[A-Za-z])[0-9]")
+LEAST_CHANGES = 4
+LEAST_SECRET = 16
+HEX = re.compile("[0-9A-Fa-f]+")
+# Names whose value is taken for a secret in training
+ASSIGNED = re.compile(
+    r"(?:key|token|secret|password|passwd|pwd)[\"']?\s*[:=]\s*[\"']?([A-Za-z0-9_-]+)", re.IGNORECASE
+)
 
 
 def luhn(digits: str) -> bool:
@@ -100,6 +120,15 @@ EMAIL_SHAPE = re.compile(rf"[{LOCAL}]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP_SHAPE = re.compile(r"[0-9]+(\.[0-9]+){3}")
 
 
+def _is_secret(text: str) -> bool:
+    return len(text) >= LEAST_SECRET and len(CHANGE.findall(text)) >= LEAST_CHANGES
+
+
+def named_secrets(text: str) -> list[Span]:
+    """Values of names such as ``token`` that look like a secret."""
+    return [(*m.span(1), SECRET) for m in ASSIGNED.finditer(text) if _is_secret(m[1])]
+
+
 def _valid(kind: str, text: str) -> bool:
     if kind == "email":
         return bool(EMAIL_SHAPE.fullmatch(text))
@@ -131,6 +160,15 @@ def _segment_features(kind: str, text: str, left: str, right: str) -> list[str]:
     if kind == "email":
         host = text.partition("@")[2]
         made += [f"ats={min(text.count('@'), 2)}", f"dots={min(host.count('.'), 4)}"]
+    elif kind == SECRET:
+        cases = "one" if text in (text.lower(), text.upper()) else "both"
+        changes = min(8 * len(CHANGE.findall(text)) // len(text), 6)
+        made += [
+            f"length={min(len(text) // 8, 8)}",
+            f"hex={bool(HEX.fullmatch(text))}",
+            f"cases={cases}",
+            f"changes={changes}",
+        ]
     else:
         shape = "-".join(map(str, groups)) if len(groups) <= 6 else "many"
         signs = "".join(sorted({c for c in text if not c.isdigit()}))
@@ -153,9 +191,17 @@ class Lattice:
         self.outside = [_atom_feature(text[a:b]) for a, b in bounds]
         # by first atom: (atom after the last, kind, features)
         self.segments: list[list[tuple[int, str, list[str]]]] = []
+        # a secret is a whole run, so it begins and ends with atoms, however many
+        runs = {m.start(): m.end() for m in RUN.finditer(text) if _is_secret(m[0])}
+        after = {b: j + 1 for j, (_, b) in enumerate(bounds)} if runs else {}
         for i, (start, _) in enumerate(bounds):
             here: list[tuple[int, str, list[str]]] = []
             self.segments.append(here)
+            if start in runs:
+                b = runs[start]
+                left, right = text[start - 1 : start], text[b : b + 1]
+                made = _segment_features(SECRET, text[start:b], left, right)
+                here.append((after[b], SECRET, made))
             if not (text[start].isascii() and (text[start].isalnum() or text[start] in "+(._%-")):
                 continue
             ats = letters = digits = blanks = 0
@@ -282,34 +328,57 @@ def fit(windows: list[tuple[str, list[Span]]]) -> SpanModel:
     return SpanModel(weights)
 
 
-def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, windows: int = WINDOWS) -> SpanModel:
-    """Fit on at most ``windows`` windows of the ``sample`` texts of the smallest hash.
-
-    Only texts with a digit or ``@`` count.  The finds of the patterns are the
-    truth; what they dropped in a window that looks like a find put together
-    with something else is judged by the weights of whole segments.  The
-    windows are what comes to the driver; an empty corpus gives a field that
-    adds nothing.
+def train(
+    docs: DataFrame,
+    text_col: str = "text",
+    sample: int = SAMPLE,
+    windows: int = WINDOWS,
+    longest: int = LONGEST_WINDOW,
+) -> SpanModel:
+    """Fit on at most ``windows`` windows, of up to ``longest`` characters, of the
+    ``sample`` different texts of the smallest hash.
+
+    Only texts with a digit or ``@`` count.  The finds of the patterns and the secrets
+    that are given to a name are the truth; what the patterns dropped in a window that
+    looks like a find put together with something else is judged by the weights of
+    whole segments.  The windows are what comes to the driver; an empty corpus gives
+    a field that adds nothing, and one without named secrets a field that finds none.
     """
     seeded = docs.select(F.col(text_col).alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    # by hash, so that the sample is the same in every run
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    share = min(1.0, sample / max(seeded.count(), 1))
-    seeded = seeded.filter(place < int(share * (1 << 30)))
+    # by hash, so that the sample is the same in every run and copies count once
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
+    share = min(1.0, sample / max(seeded.select(place).distinct().count(), 1))
+    seeded = seeded.filter(place < int(share * (1 << 40)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[str] = []
+            named: list[list[int]] = []
             for text in batch.column("text").to_pylist():
-                found += [m[0] for m in WINDOW.finditer(text)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["window"])
+                secrets = named_secrets(text)
+                starts = [a for a, _, _ in secrets]
+                for m in WINDOW.finditer(text):
+                    here = secrets[bisect_left(starts, m.start()) : bisect_left(starts, m.end())]
+                    found.append(m[0])
+                    named.append([at - m.start() for a, b, _ in here for at in (a, b)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.string()), pa.array(named, pa.list_(pa.int32()))], ["window", "named"]
+            )
 
-    # only the fit is bounded: longer windows are decoded like all others
     rows = (
-        seeded.mapInArrow(cut, "window string").filter("length(window) <= 200").distinct()
-        .orderBy(F.xxhash64("window"), "window").limit(windows).collect()
+        seeded.mapInArrow(cut, "window string, named array<int>")
+        .filter(F.length("window") <= longest)
+        .distinct()
+        .orderBy(F.xxhash64("window"), "window", "named")
+        .limit(windows)
+        .collect()
+    )
+    return fit(
+        [
+            (r.window, base_spans(r.window) + [(a, b, SECRET) for a, b in zip(r.named[::2], r.named[1::2])])
+            for r in rows
+        ]
     )
-    return fit([(r.window, base_spans(r.window)) for r in rows])
 
 
 def find_spans(text: str, model: SpanModel) -> tuple[list[Span], list[Span]]:
@@ -329,7 +398,7 @@ def find_spans(text: str, model: SpanModel) -> tuple[list[Span], list[Span]]:
             at += 1
         if at == len(merged) or merged[at][0] >= span[1]:
             added.append(span)
-    every = sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2])))
+    every = sorted(base + added, key=lambda s: (s[0], ORDER[s[2]]))
     return base, every
 
 
@@ -344,8 +413,8 @@ def detect(
 
     Returns one row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone
     (finds of the patterns), base_sha256 (of the finds as kind:start:end, joined
-    by commas) and spans (finds and additions, joined alike).  Offsets count code
-    points, the end is exclusive.  An addition never overlaps a find.  A null
+    by commas), spans (finds and additions, joined alike; secrets are additions) and
+    n_spans, their number.  Offsets count code points, the end is exclusive.  An addition never overlaps a find.  A null
     text is empty and has none.
     """
     rows = docs.select(
@@ -363,11 +432,12 @@ def detect(
                         for kind in KINDS
                     ],
                     pa.array([hashlib.sha256(_listed(base).encode()).hexdigest() for base, _ in found]),
-                    pa.array([_listed(every) for _, every in found]),
+                    pa.array([_listed(every) for _, every in found], pa.string()),
+                    pa.array([len(every) for _, every in found], pa.int64()),
                 ],
-                ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"],
+                ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_spans"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return rows.mapInArrow(detected, f"doc_id {kind}, {counts}, base_sha256 string, spans string")
+    return rows.mapInArrow(detected, f"doc_id {kind}, {counts}, base_sha256 string, spans string, n_spans long")
