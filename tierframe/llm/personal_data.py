@@ -226,10 +226,14 @@ class Lattice:
 
 
 class SpanModel:
-    """Weights of the features; the score of a cut is the sum over its segments."""
+    """Weights of the features; the score of a cut is the sum over its segments.
 
-    def __init__(self, weights: dict[str, float]):
+    Only ``kinds``, those that the training had, are found.
+    """
+
+    def __init__(self, weights: dict[str, float], kinds: frozenset[str]):
         self.weights = weights
+        self.kinds = kinds
 
     def _score(self, features: list[str]) -> float:
         return sum(self.weights.get(f, 0.0) for f in features)
@@ -247,6 +251,8 @@ class SpanModel:
             if out >= best[i + 1]:
                 best[i + 1], came[i + 1] = out, (i, None)
             for j, kind, features in lattice.segments[i]:
+                if kind not in self.kinds:
+                    continue
                 score = best[i] + self._score(features)
                 if score > best[j]:
                     best[j], came[j] = score, (i, kind)
@@ -325,7 +331,7 @@ def fit(windows: list[tuple[str, list[Span]]]) -> SpanModel:
                 g -= DECAY * weights.get(f, 0.0)
                 squares[f] = squares.get(f, 0.0) + g * g
                 weights[f] = weights.get(f, 0.0) + RATE * g / math.sqrt(squares[f] + 1e-8)
-    return SpanModel(weights)
+    return SpanModel(weights, frozenset(kind for _, truth in examples for _, _, kind in truth))
 
 
 def train(
