@@ -99,8 +99,11 @@ def test_block_tables_find_all(spark):
             stored.append((x, draw.randint(1, 3)))
     signed = lambda x: [v - (1 << 64) if v >> 63 else v for v in x]
     df = spark.createDataFrame([(signed(x), n) for x, n in stored], "fp array<long>, copies long")
-    for radius in (1, 3, 7):
-        got = {tuple(r.fp): r.n_near for r in simhash.near_counts(df, df.limit(50), radius).collect()}
+    # the number expected changes how many blocks there are, not what is found
+    assert {simhash.best_blocks(7, n) for n in (0, 10**7, 10**10)} >= {5, 8}
+    for radius, expected in ((1, 0), (3, 10**6), (7, 0), (7, 10**7), (7, 10**10)):
+        found = simhash.near_counts(df, df.limit(50), radius, expected)
+        got = {tuple(r.fp): r.n_near for r in found.collect()}
         rows = {tuple(signed(x)): x for x, _ in stored}
         for key, near in got.items():
             apart = [
@@ -127,12 +130,30 @@ def test_near_copies_are_named(spark, docs_of):
         apart = sorted(
             ((int(prints[r.doc_id], 16) ^ int(p, 16)).bit_count(), i) for i, p in prints.items()
         )
-        want = [x for x in apart if x[0] <= simhash.COPY_RADIUS]
-        assert r.near_docs == (want if r.doc_id % 100 == 0 else None)
-        far += r.doc_id % 100 == 0 and sum(d > 3 for d, _ in want)
+        # equal texts are one entry under their smallest id
+        want = {}
+        for d, i in apart:
+            if d <= simhash.COPY_RADIUS:
+                want[prints[i]] = (d, min(i, want.get(prints[i], (0, i))[1]), want.get(prints[i], (0, 0, 0))[2] + 1)
+        assert r.class_id == min(i for i, p in prints.items() if p == prints[r.doc_id])
+        if r.doc_id % 100:
+            assert r.near_classes is None and r.n_copies is None
+            continue
+        assert [tuple(x) for x in r.near_classes] == sorted(want.values())
+        assert r.n_copies == sum(n for _, _, n in want.values())
+        far += sum(d > 3 for d, _, _ in want.values())
     assert far > 10
 
 
+def test_crowd_of_equal_texts_is_one_class(docs_of):
+    """Their rows grow with the table, not with its square."""
+    rows = simhash.edits_and_neighbours(docs_of(["same text here"] * 600 + ["other words"])).collect()
+    assert {r.class_id for r in rows} == {0, 600}
+    for r in rows:
+        if r.doc_id % 100 == 0:
+            assert len(r.near_classes) == 1 and r.n_near == r.n_copies == (1 if r.doc_id == 600 else 600)
+
+
 # --- languages
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import combinations
+from math import comb
 from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,8 +30,9 @@ RADIUS = 3
 # near copies: on sf0.1 texts with 5-word Jaccard of 0.8 or more, not equal, differ by
 # 3 to 20 bits (median 12)
 COPY_RADIUS = 20
-# bits of the blocks of a long
-WIDTHS = (22, 21, 21)
+# blocks that a fingerprint is cut into: the fewer, the fewer stored ones share a block by
+# chance, the more, the fewer flips of a block are looked up
+BLOCKS = (5, 6, 7, 8)
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -91,10 +93,38 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - distance(a, b) / F.lit(float(BITS))
 
 
-def near_pairs(stored: DataFrame, queries: DataFrame, radius: int) -> DataFrame:
+def _parts(radius: int, n_blocks: int) -> list[int]:
+    """The part of the radius that each block gets, -1 where it is not looked up."""
+    part, more = divmod(radius, n_blocks)
+    return [part if t <= more else part - 1 for t in range(n_blocks)]
+
+
+def _widths(n_blocks: int) -> list[int]:
+    width, more = divmod(BITS, n_blocks)
+    return [width + (t < more) for t in range(n_blocks)]
+
+
+def best_blocks(radius: int, expected: int) -> int:
+    """The number of blocks with the least flips and candidates for a query.
+
+    A query is put in once for each flip and meets the stored fingerprints, about
+    ``expected``, that share the block by chance.  Any number gives the same hits.
+    """
+
+    def work(n_blocks: int) -> float:
+        return sum(
+            sum(comb(width, k) for k in range(part + 1)) * (1 + expected / 2**width)
+            for width, part in zip(_widths(n_blocks), _parts(radius, n_blocks))
+        )
+
+    return min(BLOCKS, key=work)
+
+
+def near_pairs(stored: DataFrame, queries: DataFrame, radius: int, expected: int) -> DataFrame:
     """(fp, near_fp, apart): all stored fingerprints within ``radius`` bits of each query.
 
-    Both sides have a column fp and are collapsed to distinct fingerprints first.
+    Both sides have a column fp and are collapsed to distinct fingerprints first;
+    ``expected`` is about the number of stored ones, and decides the number of blocks.
     The bits are cut into blocks; of the radius each gets an equal part, the
     first ones of what is left over one bit more, and the blocks of no part are not
     looked up.  If two fingerprints differed by more than (its part of the radius)
@@ -102,19 +132,20 @@ def near_pairs(stored: DataFrame, queries: DataFrame, radius: int) -> DataFrame:
     one block but for that many bits.  The queries, few against the stored ones,
     are put in with every way to flip these.  A pair counts in the first such block.
     """
-    n_blocks = HASHES * len(WIDTHS)
-    part, more = divmod(radius, n_blocks)
-    parts = [part if t <= more else part - 1 for t in range(n_blocks)]
+    n_blocks = best_blocks(radius, expected)
+    parts, widths = _parts(radius, n_blocks), _widths(n_blocks)
     used = [t for t in range(n_blocks) if parts[t] >= 0]
 
     def block(fp: Column, t: int) -> Column:
-        at = t % len(WIDTHS)
-        moved = F.shiftrightunsigned(fp[t // len(WIDTHS)], sum(WIDTHS[:at]))
-        return moved.bitwiseAND(F.lit((1 << WIDTHS[at]) - 1).cast("long"))
+        n, at = divmod(sum(widths[:t]), 64)
+        moved = F.shiftrightunsigned(fp[n], at)
+        if at + widths[t] > 64:
+            moved = moved.bitwiseOR(F.shiftleft(fp[n + 1], 64 - at))
+        return moved.bitwiseAND(F.lit((1 << widths[t]) - 1).cast("long"))
 
     def flips(t: int) -> Column:
         """Ways to flip at most the part of a block, as a literal array."""
-        bits = [1 << bit for bit in range(WIDTHS[t % len(WIDTHS)])]
+        bits = [1 << bit for bit in range(widths[t])]
         masks = [sum(some) for k in range(parts[t] + 1) for some in combinations(bits, k)]
         return F.split(F.lit(",".join(map(str, masks))), ",").cast("array<long>")
 
@@ -144,16 +175,18 @@ def near_pairs(stored: DataFrame, queries: DataFrame, radius: int) -> DataFrame:
     )
 
 
-def near_counts(stored: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
+def near_counts(
+    stored: DataFrame, queries: DataFrame, radius: int = RADIUS, expected: int = 0
+) -> DataFrame:
     """How many stored rows lie within ``radius`` bits of each distinct query.
 
     ``stored`` has fp and copies (how many rows it stands for), ``queries`` has
     fp; returns fp and n_near for every distinct fp of ``queries``, 0 where there
-    is none.
+    is none.  ``expected``: about how many different fp are stored.
     """
     copies = stored.groupBy(F.col("fp").alias("near_fp")).agg(F.sum("copies").alias("n"))
     hits = (
-        near_pairs(stored, queries, radius).join(copies, "near_fp")
+        near_pairs(stored, queries, radius, expected).join(copies, "near_fp")
         .groupBy("fp").agg(F.sum("n").alias("n_near"))
     )
     return (
@@ -164,18 +197,27 @@ def near_counts(stored: DataFrame, queries: DataFrame, radius: int = RADIUS) ->
     )
 
 
-def near_documents(stored: DataFrame, queries: DataFrame, radius: int, copy_radius: int) -> DataFrame:
-    """fp, n_near and near_docs of each distinct query.
+def fingerprint_classes(stored: DataFrame) -> DataFrame:
+    """(fp, class_id, n): each fingerprint, the smallest doc_id of it, and its rows."""
+    return stored.groupBy("fp").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("n"))
+
 
-    ``stored`` has fp, doc_id and copies.  n_near counts rows within ``radius``;
-    near_docs names all documents within ``copy_radius``, the larger one, as
-    (apart, doc_id) in this order.
+def near_classes(
+    classes: DataFrame, queries: DataFrame, radius: int, copy_radius: int, expected: int
+) -> DataFrame:
+    """fp, n_near, n_copies and near_classes of each distinct query.
+
+    ``classes`` as ``fingerprint_classes`` returns them.  n_near counts rows within
+    ``radius``, n_copies those within ``copy_radius``, the larger one; near_classes has
+    (apart, class_id, n) of every different fingerprint within ``copy_radius`` in this
+    order.  Texts that are alike share a fingerprint, so a crowd of them is one entry.
     """
-    hits = near_pairs(stored, queries, copy_radius)
-    named = hits.join(stored.select(F.col("fp").alias("near_fp"), "doc_id", "copies"), "near_fp")
+    hits = near_pairs(classes, queries, copy_radius, expected)
+    named = hits.join(classes.withColumnRenamed("fp", "near_fp"), "near_fp")
     return named.groupBy("fp").agg(
-        F.coalesce(F.sum(F.when(F.col("apart") <= radius, F.col("copies"))), F.lit(0)).alias("n_near"),
-        F.sort_array(F.collect_list(F.struct("apart", "doc_id"))).alias("near_docs"),
+        F.coalesce(F.sum(F.when(F.col("apart") <= radius, F.col("n"))), F.lit(0)).alias("n_near"),
+        F.sum("n").alias("n_copies"),
+        F.sort_array(F.collect_list(F.struct("apart", "class_id", "n"))).alias("near_classes"),
     )
 
 
@@ -216,10 +258,12 @@ def edits_and_neighbours(
     The edited text has its last half replaced by as much of the start of the
     next document, in descending id.  Returns one row per row of ``docs``: doc_id,
     n_chars, edited_sha256, fingerprint and edited_fingerprint (hex),
-    near_edited, near_next (likeness, 0 to 1), n_near and near_docs: for ids
-    divisible by 100, the number of rows within ``radius`` bits of its fingerprint,
-    and (apart, doc_id) of every document within ``copy_radius``, itself included
-    in both; null for the others, which are not searched for.
+    near_edited, near_next (likeness, 0 to 1), class_id (the smallest doc_id of its
+    fingerprint, null if all are null), and for ids divisible by 100 n_near and n_copies,
+    the number of rows within ``radius`` and ``copy_radius`` bits, and near_classes,
+    (apart, class_id, n) of every fingerprint within ``copy_radius`` and its rows; the
+    document's own is included in each.  They are null for the others, which are not
+    searched for.
 
     A null text is empty.  Rows alike in id and text are one document here and
     get equal results; null ids come last.  The texts are shuffled once and
@@ -246,14 +290,15 @@ def edits_and_neighbours(
     after = own.select(F.col("key").alias("next_key"), F.col("fp").alias("next_fp"))
     joined = follow.join(own, "key").join(changed, "key").join(after, "next_key")
     asked = F.col("doc_id") % 100 == 0
-    weighed = joined.select("fp", "copies", "doc_id")
-    found = near_documents(weighed, weighed.filter(asked), radius, copy_radius)
-    # by key: rows that are not asked for have none in common
-    near = joined.filter(asked).select("key", "fp").join(found, "fp").select(
-        "key", "n_near", "near_docs"
+    classes = materialize(fingerprint_classes(joined.select("fp", "copies", "doc_id")), "classes")
+    found = near_classes(
+        classes, joined.filter(asked).select("fp"), radius, copy_radius, classes.count()
     )
+    # by key: rows that are not asked for have none in common
+    near = joined.filter(asked).select("key", "fp").join(found, "fp").drop("fp")
     return (
-        joined.join(near, "key", "left")
+        joined.join(classes.select("fp", "class_id"), "fp")
+        .join(near, "key", "left")
         .select(
             "doc_id",
             "n_chars",
@@ -262,8 +307,10 @@ def edits_and_neighbours(
             as_hex(F.col("edited_fp")).alias("edited_fingerprint"),
             likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
             likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+            "class_id",
             "n_near",
-            "near_docs",
+            "n_copies",
+            "near_classes",
             F.explode(F.sequence(F.lit(1), "copies")).alias("_copy"),
         )
         .drop("_copy")
