@@ -816,6 +816,22 @@ ORACLES = {
             voted AS (
               SELECT *, count(*) OVER (PARTITION BY event_id, guess) AS votes FROM guessed)""",
     ),
+    "own_vote": sql(
+        ["jet"],
+        f"""SELECT event_id, label FROM (
+              SELECT event_id, {LABEL_OF.format("number_of_particles_in_this_jet % 4")} AS label,
+                     count(*) AS votes FROM jet GROUP BY ALL)
+            QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY votes DESC, label) = 1""",
+    ),
+    "own_deviation": sql(
+        ["jet"],
+        "SELECT event_id, round(stddev_samp(jet_energy), 3) AS deviation FROM jet GROUP BY event_id",
+    ),
+    "own_row_value": sql(
+        ["jet"],
+        """SELECT jet_id, round(jet_pz / nullif(sqrt(jet_px * jet_px + jet_py * jet_py), 0), 6)
+           AS steepness FROM jet""",
+    ),
     # folds
     "fold_group_hash": sql(
         ["jet"], f"SELECT jet_id, event_id, {GROUP_FOLD.format('event_id')} AS fold FROM jet"

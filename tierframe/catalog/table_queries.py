@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +20,7 @@ from tierframe.functions.classes import (
 from tierframe.operators import columns as C
 from tierframe.operators.group_state import group_state, merge_states, stats_of
 from tierframe.operators.narrowing import number_types, read_csv_inferred
+from tierframe.operators.own import OwnAggregate, with_row_function
 from tierframe.operators.profile import describe, importance_report, melt, table_profile
 from tierframe.operators.slots import flatten
 from tierframe.operators.stats import Stat, agreement, distinct_keys, vote, with_digits
@@ -351,6 +355,62 @@ def event_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vote(jets, "event_id", "label")
 
 
+def _seen(state: tuple, rows) -> tuple:
+    """Count, mean and centred square sum with the rows of a frame."""
+    values = rows.iloc[:, -1].dropna().astype(float)
+    mean = values.mean() if len(values) else 0.0
+    return _joined(state, (len(values), mean, ((values - mean) ** 2).sum()))
+
+
+def _joined(a: tuple, b: tuple) -> tuple:
+    n = a[0] + b[0]
+    if not n:
+        return a
+    apart = b[1] - a[1]
+    return n, a[1] + apart * b[0] / n, a[2] + b[2] + apart * apart * a[0] * b[0] / n
+
+
+# the vote and a deviation written as own aggregates
+OWN_VOTE = OwnAggregate(
+    start=Counter,
+    add=lambda votes, rows: votes + Counter(rows["label"].dropna().astype(int).tolist()),
+    merge=lambda a, b: a + b,
+    finish=lambda votes: min(votes, key=lambda label: (-votes[label], label), default=None),
+    type="int",
+)
+OWN_DEVIATION = OwnAggregate(
+    start=lambda: (0, 0.0, 0.0),
+    add=_seen,
+    merge=_joined,
+    finish=lambda s: math.sqrt(s[2] / (s[0] - 1)) if s[0] > 1 else None,
+    type="double",
+)
+
+
+def own_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    guess = class_to_label(F.col("number_of_particles_in_this_jet") % N_CLASSES)
+    jets = V.jets(spark, sf_dir).select("event_id", guess.cast("int").alias("label"))
+    return OWN_VOTE.per_group(jets, "event_id", ["label"], "label")
+
+
+def own_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = OWN_DEVIATION.per_group(V.jets(spark, sf_dir), "event_id", ["jet_energy"], "deviation")
+    return found.select("event_id", F.round("deviation", 3).alias("deviation"))
+
+
+def own_row_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def steepness(jet) -> float | None:
+        if None in jet[:3]:
+            return None
+        flat = math.hypot(jet.jet_px, jet.jet_py)
+        return jet.jet_pz / flat if flat else None
+
+    columns = ["jet_px", "jet_py", "jet_pz"]
+    jets = V.jets(spark, sf_dir).select("jet_id", *columns)
+    found = with_row_function(jets, "steepness", steepness, columns, "double")
+    return found.select("jet_id", F.round("steepness", 6).alias("steepness"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -393,5 +453,8 @@ QUERIES = {
         one_hot_labels,
         label_fanout,
         event_vote,
+        own_vote,
+        own_deviation,
+        own_row_value,
     )
 }
