@@ -226,3 +226,32 @@ def test_round_one_end_to_end(spark, sf_dir, monkeypatch):
     labels = {r.id: r.label for r in model_queries.round_one_submission(spark, sf_dir).collect()}
     assert set(labels) == {k for k, r in known.items() if r.split == "test"}
     assert set(labels.values()) <= {21, 1, 4, 5}
+
+
+def test_round_two_end_to_end(spark, sf_dir, monkeypatch):
+    """Every test jet once, all jets of an event alike, NULL only without an event row."""
+    short = st.SoftmaxTrees(iterations=2, depth=2)
+    whole, wide = model_queries.train_fold_models, model_queries.event_table
+    seen = {}
+
+    def trained(rows, *a, **named):
+        seen["folds"] = rows.groupBy("class", "fold").count().collect()
+        return whole(rows, *a, learner=short, **named)
+
+    monkeypatch.setattr(model_queries, "train_fold_models", trained)
+    monkeypatch.setattr(
+        model_queries, "event_table", lambda *a, **named: wide(*a, **{**named, "k_particles": 2})
+    )
+    jets = {r.jet_id: r for r in model_queries.V.jets(spark, sf_dir).collect()}
+    rows = model_queries.round_two_submission(spark, sf_dir).collect()
+    assert sorted(r.id for r in rows) == sorted(k for k, r in jets.items() if r.split == "test")
+    with_row = {r.event_id for r in jets.values() if r.number_of_particles_in_this_jet}
+    labels = {}
+    for r in rows:
+        event = jets[r.id].event_id
+        assert (r.label in (21, 1, 4, 5)) if event in with_row else r.label is None
+        assert labels.setdefault(event, r.label) == r.label
+    # stratified: the folds of a class differ by one event at most
+    for k in {r["class"] for r in seen["folds"]}:
+        sizes = [r["count"] for r in seen["folds"] if r["class"] == k]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1

@@ -21,9 +21,10 @@ from tierframe.operators.joins import lookup_join
 from tierframe.operators.metrics import hard_label_aucs, macro_auc, score_aucs
 from tierframe.operators.profile import importance_report
 from tierframe.operators.scaling import StandardScale
-from tierframe.operators.stats import vote
+from tierframe.operators.stats import require_agreement, vote
+from tierframe.plans.event_table import event_table
 from tierframe.plans.jets import jet_features, jet_table
-from tierframe.plans.submission import predicted_labels
+from tierframe.plans.submission import fan_out, fill_sample, predicted_labels
 from tierframe.sources import views as V
 from tierframe.sources.predictions import probability_columns, side_by_side
 from tierframe.sources.staging import materialize
@@ -240,6 +241,30 @@ def round_one_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted_labels(scored, "jet_id").withColumnRenamed("jet_id", "id")
 
 
+def _round_two(spark: SparkSession, sf_dir: str, k_particles: int = 16) -> DataFrame:
+    """Test events with the mean of the fold models, trained on the flattened event table."""
+    jets = V.jets(spark, sf_dir)
+    # the label of an event is that of its first jet
+    require_agreement(jets, "event_id", "label")
+    table = event_table(
+        V.particles(spark, sf_dir), jets, V.events(spark, sf_dir), V.PARTICLE_TIES,
+        k_particles=k_particles,
+    )
+    rows = materialize(table.withColumn("class", label_to_class(F.col("label"))), "round_two")
+    features = [c for c in _features(rows) if c != "class"]
+    train, test = (rows.filter(F.col("split") == s) for s in ("train", "test"))
+    folded = FD.stratified_folds(train, "class", "event_id")
+    _, scored, _ = train_fold_models(folded, features, "event_id", "class", test=test)
+    return scored
+
+
+def round_two_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test jet with the label of its event; NULL where no jet of it has particles."""
+    labels = predicted_labels(_round_two(spark, sf_dir), "event_id")
+    jets = V.jets(spark, sf_dir).filter(F.col("split") == "test")
+    return fill_sample(jets.select(F.col("jet_id").alias("id")), fan_out(jets, labels))
+
+
 def oof_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = _wide_with_truth(spark, sf_dir)
     scaled = StandardScale.fit(wide, MATRIX).apply(wide)
@@ -298,6 +323,7 @@ QUERIES = {
         tree_importance,
         round_one_oof,
         round_one_submission,
+        round_two_submission,
         oof_mlp,
         stack_fit,
         drift_model,
