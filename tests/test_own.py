@@ -41,6 +41,14 @@ def test_states_sent_early_give_the_same(rows, monkeypatch):
         rows.sparkSession.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_rows_of_a_key_are_added_together(spark):
+    calls = own.OwnAggregate(lambda: 0, lambda n, frame: n + 1, lambda a, b: a + b, lambda n: n, "int")
+    spread = spark.range(6000, numPartitions=6).select((F.col("id") % 200).alias("k"), "id")
+    got = calls.per_group(spread, "k", ["id"], "n").collect()
+    # one frame for each key, and a second one where a batch ends inside of it
+    assert len(got) == 200 and sum(r.n for r in got) <= 210
+
+
 def test_text_keys_no_rows_and_fractional_keys(rows):
     letters = own.OwnAggregate(
         Counter, lambda s, f: s + Counter("".join(f["t"].dropna())), lambda a, b: a + b,

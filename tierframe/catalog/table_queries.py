@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -357,9 +359,10 @@ def event_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _seen(state: tuple, rows) -> tuple:
     """Count, mean and centred square sum with the rows of a frame."""
-    values = rows.iloc[:, -1].dropna().astype(float)
-    mean = values.mean() if len(values) else 0.0
-    return _joined(state, (len(values), mean, ((values - mean) ** 2).sum()))
+    values = rows.iloc[:, -1].to_numpy(float)
+    values = values[~np.isnan(values)]
+    mean = float(values.mean()) if len(values) else 0.0
+    return _joined(state, (len(values), mean, float(((values - mean) ** 2).sum())))
 
 
 def _joined(a: tuple, b: tuple) -> tuple:
@@ -373,7 +376,7 @@ def _joined(a: tuple, b: tuple) -> tuple:
 # the vote and a deviation written as own aggregates
 OWN_VOTE = OwnAggregate(
     start=Counter,
-    add=lambda votes, rows: votes + Counter(rows["label"].dropna().astype(int).tolist()),
+    add=lambda votes, rows: votes + Counter(int(v) for v in rows["label"].tolist() if not pd.isna(v)),
     merge=lambda a, b: a + b,
     finish=lambda votes: min(votes, key=lambda label: (-votes[label], label), default=None),
     type="int",

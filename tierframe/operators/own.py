@@ -40,9 +40,12 @@ class OwnAggregate:
     def per_group(self, df: DataFrame, key: str, columns: list[str], name: str) -> DataFrame:
         """(key, name): the value of each key; rows without a key are left out.
 
-        Tasks add their rows up first, so a hot key arrives as one state per task
-        and flush.  The states of a partition are merged in the order of the key: one
-        state is held at a time.  Integers with NULLs are objects in the frames.
+        The rows are rebalanced and sorted by key first, so ``add`` gets the rows of a key
+        in one frame per batch, and its calls grow with the keys and not with the rows.
+        Tasks add their rows up, so a hot key, whose partition the rebalancing may split,
+        arrives as one state per task and flush.  The states of a partition are merged in
+        the order of the key: one state is held at a time.  Integers with NULLs are
+        objects in the frames.
         """
         if isinstance(df.schema[key].dataType, (FloatType, DoubleType)):
             raise ValueError(f"{key} is fractional: no key for own aggregates")
@@ -92,6 +95,7 @@ class OwnAggregate:
                 yield values([(at, state)])
 
         rows = df.filter(F.col(key).isNotNull()).select(key, *[c for c in columns if c != key])
+        rows = rows.hint("rebalance", key).sortWithinPartitions(key)
         of_key = StructType([df.schema[key]])
         states = rows.mapInArrow(partial, StructType([*of_key, *StructType.fromDDL(f"{STATE} binary")]))
         sorted_states = states.repartition(key).sortWithinPartitions(key)
