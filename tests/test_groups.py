@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of, rows_of
+from tierframe.catalog.feature_queries import stored
 from tierframe.operators import joins as J
 from tierframe.operators import stats as ST
 from tierframe.plans.event_table import event_table
 from tierframe.plans.jets import event_stats, jet_table
+from tierframe.plans.particles import BROAD, COMPACT, jet_stats
 from tierframe.sources import views as V
 
 FIVE = ("count", "max", "mean", "min", "std", "sum")
@@ -212,3 +214,28 @@ def test_events_of_many_children_keep_their_counts(spark):
     assert row.event_id_count == 40_000 and row.event_id_number_particles_max == 70_000
     assert row.j0_number_of_particles_in_this_jet == 70_000
     assert row.j0_p0_particle_category == 1000020040
+
+
+def test_particles_are_shuffled_raw_before_the_statistics_of_their_jet(spark, monkeypatch):
+    data = [
+        (None if n % 41 == 0 else n % 23 if n % 2 else 5, n % 7 - 3 if n % 13 else None,
+         *[float((n * m) % 19 - 9) if n % 17 else None for m in (1, 3, 5, 7, 11)])
+        for n in range(1500)
+    ]
+    axes = "particle_px double, particle_py double, particle_pz double"
+    particles = spark.createDataFrame(
+        data, f"jet_id long, particle_category int, {axes}, particle_energy double, particle_mass double"
+    ).repartition(5)
+    for chosen in (COMPACT, BROAD):
+        together = jet_stats(particles, chosen, 6)
+        plan = plan_of(together)
+        assert "REBALANCE_PARTITIONS_BY_COL" in plan
+        # nothing but the raw rows travels
+        assert plan.count("Exchange ") == plan.count("REBALANCE_PARTITIONS_BY_COL")
+        want = rows_of(stored(together), "jet_id")
+        for limit in (40, 0):
+            monkeypatch.setattr(ST, "HOT_ROWS", limit)
+            hot = jet_stats(particles, chosen, 6)
+            assert hot.columns == together.columns
+            assert len(want) == 23 and [pytest.approx(r, nan_ok=True) for r in want] == rows_of(stored(hot), "jet_id")
+        monkeypatch.undo()
