@@ -255,3 +255,43 @@ def test_round_two_end_to_end(spark, sf_dir, monkeypatch):
     for k in {r["class"] for r in seen["folds"]}:
         sizes = [r["count"] for r in seen["folds"] if r["class"] == k]
         assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+
+
+@pytest.mark.parametrize("rows", [40, 6000])
+def test_sums_of_features_that_share_a_pass(rows, monkeypatch):
+    source = np.random.default_rng(rows)
+    width, places, columns = 7, 3, np.array([0, 2, 3, 5, 6])
+    x = source.integers(0, width, (8, rows)).astype(np.uint8)
+    place, g = source.integers(0, places + 1, rows), source.normal(size=rows)
+    calls, bincount = [], np.bincount
+    monkeypatch.setattr(st.np, "bincount", lambda *a: calls.append(1) or bincount(*a))
+    sums = np.zeros((2, len(columns), places, width))
+    for _ in range(2):
+        st._add_up(sums, x, columns, place, (g, None))
+    for n, c in enumerate(columns):
+        for at in range(places):
+            here = place == at
+            assert np.allclose(sums[0, n, at], 2 * bincount(x[c][here], g[here], width))
+            assert (sums[1, n, at] == 2 * bincount(x[c][here], None, width)).all()
+    # a call for each weight and two features, or all of them where rows are few
+    assert len(calls) == 2 * 2 * (3 if rows > 1000 else 1)
+
+
+def test_rows_walk_down_to_the_node_of_a_plain_walk():
+    source = np.random.default_rng(5)
+    x = source.integers(0, 9, (300, 4)).astype(np.uint8)
+    tree = st.Tree.root(3)
+    for n in (0, 1, 2, 4, 5):
+        tree.feature[n], tree.bin[n] = source.integers(0, 4), source.integers(1, 8)
+        tree.null_left[n] = source.integers(0, 2)
+
+    def walk(row):
+        at = 0
+        while tree.feature[at] >= 0:
+            value = row[tree.feature[at]]
+            left = tree.null_left[at] if value == 0 else value <= tree.bin[at]
+            at = 2 * at + (1 if left else 2)
+        return at
+
+    assert tree.nodes(x).tolist() == [walk(row) for row in x]
+    assert st.Tree.root(3).nodes(x).tolist() == [0] * 300
