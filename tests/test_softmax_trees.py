@@ -295,3 +295,85 @@ def test_rows_walk_down_to_the_node_of_a_plain_walk():
 
     assert tree.nodes(x).tolist() == [walk(row) for row in x]
     assert st.Tree.root(3).nodes(x).tolist() == [0] * 300
+
+
+def test_a_bound_on_leaves_takes_the_greatest_gains_first(learnable):
+    """The tree is the one that splits the leaf with the greatest gain again and again."""
+    cuts = st.Cuts.fit(learnable, FEATURES, 16)
+    rows = st.materialize(cuts.apply(learnable, ["id", "class", "fold"]), "rows")
+    whole = st.SoftmaxTrees(iterations=1, depth=6, row_share=1.0, column_share=1.0)
+    jobs = [st.Job(whole), st.Job(st.replace(whole, leaves=7)), st.Job(st.replace(whole, leaves=1))]
+    full, bounded, none = st.fit_together(rows, cuts, "id", "class", jobs)
+    for tree, some, root in zip(full.rounds[0], bounded.rounds[0], none.rounds[0]):
+        open_, gains = [0], []
+        while len(gains) < 6:
+            node = max((n for n in open_ if tree.feature[n] >= 0), key=lambda n: tree.gain[n])
+            open_.remove(node)
+            open_ += [tree.left[node], tree.left[node] + 1]
+            gains.append(tree.gain[node])
+        kept = some.feature >= 0
+        assert sorted(some.gain[kept]) == pytest.approx(sorted(gains)) and kept.sum() == 6
+        assert (root.feature < 0).all()
+
+
+def test_drawn_rows_stay_for_some_rounds(learnable):
+    cuts = st.Cuts.fit(learnable, FEATURES, 16)
+    rows = st.materialize(cuts.apply(learnable, ["id", "class", "fold"]), "rows")
+    p = st.SoftmaxTrees(iterations=3, depth=1, row_share=0.5, column_share=1.0, learning_rate=1e-12)
+    models = st.fit_together(rows, cuts, "id", "class", [st.Job(p), st.Job(st.replace(p, resample=2))])
+    # with hardly a step, rounds differ by their rows alone
+    gains = [[float(trees[0].gain[0]) for trees in m.rounds] for m in models]
+    assert len({round(g, 6) for g in gains[0]}) == 3
+    assert gains[1][0] == pytest.approx(gains[1][1], rel=1e-6) and abs(gains[1][1] - gains[1][2]) > 1e-3
+
+
+@pytest.mark.parametrize("most", [100, 1 << 17])
+def test_cuts_are_near_the_exact_ranks(spark, monkeypatch, most):
+    monkeypatch.setattr(st, "CHUNK", 30 * most)
+    source = np.random.default_rng(4)
+    x = np.round(source.lognormal(size=20000), 2)
+    df = spark.createDataFrame([(float(v), None if v < 1 else float(v)) for v in x], "x double, y double")
+    cuts = st.Cuts.fit(df, ["x", "y"], 8)
+    for values, points in zip((x, x[x >= 1]), cuts.points):
+        values = np.sort(values)
+        for n, point in enumerate(points, 1):
+            low, high = (np.searchsorted(values, point, side) for side in ("left", "right"))
+            rank = np.ceil(n * len(values) / 8)
+            assert low - len(values) / 800 <= rank <= high + len(values) / 800
+
+
+def test_search_trains_every_draw_on_all_folds_and_is_guided(learnable, monkeypatch):
+    from tierframe.learning import search as sr
+
+    seen = []
+    whole = sr.fit_together
+    monkeypatch.setattr(sr, "fit_together", lambda *a, **named: seen.append(a[4]) or whole(*a, **named))
+    rows = assemble(learnable, FEATURES, ["id", "class", "fold"])
+    bounds = {"learning_rate": (0.001, 0.3), "depth": (1, 3), "leaves": (2, 8), "l1": (0.0, 5.0)}
+    base = st.SoftmaxTrees(iterations=4, column_share=1.0)
+    found = {r.draw: r for r in search(rows, "id", "class", base, 6, bounds, folds=3, seed=1).collect()}
+    # three random draws at once, then one after another
+    assert [len(jobs) for jobs in seen] == [9, 3, 3, 3]
+    assert all([j.fold for j in jobs] == [0, 1, 2] * (len(jobs) // 3) for jobs in seen)
+    assert {j.learner.iterations for jobs in seen for j in jobs} == {4}
+    random_ones = sr.draw_parameters(3, bounds, 1)
+    for d, p in enumerate(random_ones):
+        assert {n: found[d][n] for n in p} == pytest.approx(p)
+    assert set(sr.BOUNDS) == {"learning_rate", "column_share", "depth", "leaves", "l1", "l2", "row_share", "resample"}
+    for r in found.values():
+        assert all(low <= r[n] <= high for n, (low, high) in bounds.items())
+
+
+def test_the_surrogate_leads_to_the_top():
+    from tierframe.learning import search as sr
+
+    source = np.random.default_rng(0)
+    top = np.array([0.7, 0.2])
+    points = source.random((5, 2))
+    for _ in range(12):
+        scores = -((points - top) ** 2).sum(axis=1)
+        points = np.concatenate([points, [sr.next_point(points, scores, source)]])
+    scores = -((points - top) ** 2).sum(axis=1)
+    assert scores[5:].max() > scores[:5].max() and np.abs(points[scores.argmax()] - top).max() < 0.1
+    model = sr.Surrogate(points, scores)
+    assert model.predict(points)[0] == pytest.approx(scores, abs=1e-2)
